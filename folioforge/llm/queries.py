@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import decontam, simhash, token_counts
+from folioforge.llm import decontam, simhash, suffix_dedup, token_counts
 from folioforge.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -23,7 +27,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op8_simhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op7_suffix_array_dedup, op8_simhash_near_dedup, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
