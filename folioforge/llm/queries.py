@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import decontam, mixing, simhash, suffix_dedup, token_counts
+from folioforge.llm import decontam, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts
 from folioforge.llm.common import table
 
 
+def op2_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.edit_report(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op5_benchmark_decontamination, op7_suffix_array_dedup, op8_simhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op7_suffix_array_dedup, op8_simhash_near_dedup, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
