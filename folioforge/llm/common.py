@@ -18,9 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stable(df: DataFrame) -> DataFrame:
+def stable(df: DataFrame, partitioned: bool = False) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder that all executors share.
 
+    partitioned: later groupings by the keys of df's last repartition() shuffle nothing; only
+    a plan that isn't adaptive tells its partitioning, so that is off for this one job.
+
     The folder is the session's spark.checkpoint.dir; only a session without one, as in
     tests, gets a folder of its own.
     """
@@ -28,7 +31,15 @@ def stable(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or f"file://{tempfile.mkdtemp(prefix='folioforge-')}")
-    return df.checkpoint()
+    if not partitioned:
+        return df.checkpoint()
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    adaptive = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return df.select("*").checkpoint()
+    finally:
+        conf.set(key, adaptive)
 
 
 def id_and_bytes(docs: DataFrame) -> DataFrame:

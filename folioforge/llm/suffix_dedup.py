@@ -68,7 +68,10 @@ def _words(buf: np.ndarray) -> np.ndarray:
 def _parse(buf: np.ndarray, cuts: list[int], depth: int) -> tuple[np.ndarray, ...]:
     """Phrases of a buffer of at most 2**20 bytes in which no window crosses a cut.
 
-    Returns starts, numbers of windows, gram hashes and phrase hashes.
+    Returns starts, numbers of windows, gram hashes, phrase hashes and sides: two 12-bit hashes,
+    of the bytes before and after the gram. Windows of two phrases that are equal have one of
+    these in common, since most of what is left of a window lies on one side; 0: no window
+    reaches so far.
     """
     n, w = len(buf), depth - GRAM + 1
     words = _words(buf)
@@ -86,7 +89,7 @@ def _parse(buf: np.ndarray, cuts: list[int], depth: int) -> tuple[np.ndarray, ..
         valid[max(0, c - depth + 1) : c] = False
     at = np.flatnonzero(valid)
     if not len(at):
-        return (at, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        return at, at, *[np.zeros(0, np.uint64)] * 3
     t = trigger[at]
     new = np.ones(len(at), bool)
     new[1:] = (t[1:] != t[:-1]) | (at[1:] != at[:-1] + 1)
@@ -94,7 +97,10 @@ def _parse(buf: np.ndarray, cuts: list[int], depth: int) -> tuple[np.ndarray, ..
     lo, hi = at[first], at[np.append(first[1:], len(at)) - 1]
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _power(0)[: len(h)])])
     phrase = (total[hi + w] - total[lo]) * _power(1)[lo]
-    return lo, hi - lo + 1, mix64(h[t[first]] ^ _C1), mix64(phrase ^ (hi - lo).astype(np.uint64))
+    g, half = t[first], (depth - GRAM + 1) // 2
+    left = np.where(g - lo >= half, mix64(h[np.maximum(g - GRAM, 0)]) % U64(4095) + U64(1), U64(0))
+    right = np.where(hi > g - half, mix64(h[np.minimum(g + GRAM, len(h) - 1)]) % U64(4095) + U64(1), U64(0))
+    return lo, hi - lo + 1, mix64(h[g] ^ _C1), mix64(phrase ^ (hi - lo).astype(np.uint64)), left << U64(12) | right
 
 
 class Block:
@@ -114,11 +120,11 @@ class Block:
             stop = min(size, start + _PIECE)
             a, b = np.searchsorted(self.ends, [start, stop], side="right")
             inner = [c - start for c in cuts[a : b + 1] if c - start > 0 and c <= stop]
-            lo, n, g, p = _parse(self.raw[start:stop], inner, depth)
-            parts.append((lo + start, n, g, p))
+            lo, *rest = _parse(self.raw[start:stop], inner, depth)
+            parts.append((lo + start, *rest))
             start = stop - depth + 1 if stop < size else size
-        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-        self.at, self.n, g, p = (np.concatenate(x) for x in zip(*parts)) if parts else empty
+        empty = (*[np.zeros(0, np.int64)] * 2, *[np.zeros(0, np.uint64)] * 3)
+        self.at, self.n, g, p, sides = (np.concatenate(x) for x in zip(*parts)) if parts else empty
         self.doc = self.ids[np.searchsorted(self.ends, self.at, side="right")]
         # equal phrases lie together, least id first: the order of ids is kept by the stable sort
         order = np.argsort((g & ~U64(0xFFFF)) | (p >> U64(48)), kind="stable")
@@ -128,10 +134,10 @@ class Block:
         self.entry = np.empty(len(order), np.int64)
         self.entry[order] = np.cumsum(new) - 1
         self.first = order[new]
-        self.gram, self.phrase = gs[new], ps[new]
+        self.gram, self.phrase, self.sides = gs[new], ps[new], sides[self.first]
 
     def keys(self, many: int = MANY) -> tuple[np.ndarray, ...]:
-        """What stands for the entries: gram, phrase, id, mark, and for each entry the number of its key.
+        """What stands for the entries: gram, phrase, id, mark, sides, and for each entry the number of its key.
 
         mark: 0 a phrase; 1 or 2 a gram with more than `many` phrases, in one or more documents.
         """
@@ -154,7 +160,7 @@ class Block:
         sent = (mark == 0) | run
         number = np.cumsum(sent) - 1
         lowest = np.minimum.reduceat(doc, heads)[of] if n else doc
-        return gram[sent], self.phrase[sent] >> U64(16), np.where(mark == 0, doc, lowest)[sent], mark[sent], number
+        return gram[sent], self.phrase[sent] >> U64(16), np.where(mark == 0, doc, lowest)[sent], mark[sent], np.where(mark == 0, self.sides, U64(0))[sent], number
 
     def windows(self, entries: np.ndarray) -> tuple[np.ndarray, ...]:
         """All windows of the entries, in order: hash, check, id, and the first one's number for each entry."""
@@ -224,7 +230,7 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
 
 def _judge_phrases(group: pa.Table) -> pa.Table:
     """1: a smaller id has the phrase; 2: its suffixes have to be ordered; 0: neither."""
-    origin, (gram, ids, phrase, mark), limits = _received(group)
+    origin, (gram, ids, phrase, mark, sides), limits = _received(group)
     mark = mark.astype(np.uint8)
     source = np.repeat(np.arange(len(origin)), np.diff(limits)).astype(np.uint64)
     phrase = np.where(mark > 0, (U64(1) << U64(50)) + source, phrase)
@@ -235,11 +241,17 @@ def _judge_phrases(group: pa.Table) -> pa.Table:
     top = _starts(g)
     heads = np.flatnonzero(top)
     of = np.cumsum(top) - 1
-    phrases = np.add.reduceat(new.astype(np.int64), heads)
     most = np.maximum.reduceat(m, heads)
     apart = (np.maximum.reduceat(d, heads) > np.minimum.reduceat(d, heads)) | (most == 2)
-    open_ = apart & ((phrases > 1) | (most > 0))
-    code = np.where((d > least) & (m == 0), 1, np.where(open_[of], 2, 0)).astype(np.uint8)
+    # open: another phrase of the gram has the same bytes on a side, or can't be told
+    some = np.flatnonzero(new)
+    open_ = (most > 0)[of]
+    for side in (sides[order][some] >> U64(12), sides[order][some] & U64(4095)):
+        by = np.lexsort((side, g[some]))
+        head = _starts(g[some][by], side[by])
+        alike = np.add.reduceat(np.ones(len(by), np.int64), np.flatnonzero(head))[np.cumsum(head) - 1]
+        open_[some[by]] |= (alike > 1) & (side[by] > 0)
+    code = np.where((d > least) & (m == 0), 1, np.where(open_ & apart[of], 2, 0)).astype(np.uint8)
     codes = np.empty(len(code), np.uint8)
     codes[order] = code
     return _answer(origin, codes, limits)
@@ -285,7 +297,7 @@ def _codes(back: pa.Table, kind: int) -> np.ndarray:
 
 def _window_keys(block: Block, codes: np.ndarray) -> tuple:
     """Entries to be ordered, their windows, and the distinct ones, sorted, least id first."""
-    number = block.keys()[4]
+    number = block.keys()[5]
     code = codes[number] if len(number) else codes
     entries = np.flatnonzero(code == 2)
     h, check, ids, begin = block.windows(entries)
@@ -321,12 +333,12 @@ def repeated_passages(docs: DataFrame, depth: int = DEPTH, carried: list[str] |
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = 1 + size // block_bytes, 1 + size // bucket_bytes
     bits = _gram_bits(size)
-    packed = stable(_pack_docs(docs, blocks, carried or []))
+    packed = stable(_pack_docs(docs, blocks, carried or []), partitioned=True)
     lean = packed.select("block", "doc_id", "z")
 
     def parse(key: tuple, group: pa.Table) -> pa.Table:
-        gram, phrase, ids, mark, _ = _load(group, depth, bits).keys()
-        return _send(1, key[0].as_py(), _bucket(gram, bits, buckets), gram, ids, [phrase, mark])
+        gram, phrase, ids, mark, sides, _ = _load(group, depth, bits).keys()
+        return _send(1, key[0].as_py(), _bucket(gram, bits, buckets), gram, ids, [phrase, mark, sides])
 
     def open_suffixes(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
         _, _, _, h, check, ids, order, new = _window_keys(_load(group, depth, bits), _codes(back, 1))
