@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import decontam, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts
+from folioforge.llm import decontam, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts, toxicity
 from folioforge.llm.common import table
 
 
@@ -30,12 +30,16 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op7_suffix_array_dedup, op8_simhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
