@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import decontam, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts, toxicity
+from folioforge.llm import decontam, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from folioforge.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op6_url_filter, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
