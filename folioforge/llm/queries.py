@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import decontam, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from folioforge.llm import decontam, license_scan, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from folioforge.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.edit_report(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op6_url_filter, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op1_license_scan, op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op6_url_filter, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
