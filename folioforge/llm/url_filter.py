@@ -3,8 +3,8 @@
 Rules name a host (with all its subdomains) and a path that a URL's path starts with; the
 longest one that fits wins. The URLs that a rule decides are the labelled ones, from which
 trees on lexical features are trained: length, depth, share of digits, entropy, numbers of
-parameters and labels, and how often labelled hosts of the same last label and the same
-first path part were blocked.
+parameters and labels, and how often labelled hosts of the same last label
+and the same last two labels were blocked.
 
 Everything is DataFrame expressions. Features are binned; each level of each tree takes one
 aggregation over the labelled rows: gradients summed by leaf, feature and bin, whole numbers
@@ -82,27 +82,27 @@ def lexical(df: DataFrame) -> DataFrame:
         "f_hyphens": F.least(_count(F.col("host"), "-"), F.lit(7)),
         "f_secure": F.startswith(url, F.lit("https")).cast("int"),
     }
-    return df.withColumns({k: v.cast("int") for k, v in bins.items()} | {"k_suffix": F.substring_index("host", ".", -1), "k_first": F.coalesce(F.try_element_at(F.split("path", "/"), F.lit(2)), F.lit(""))})
+    return df.withColumns({k: v.cast("int") for k, v in bins.items()} | {"k_suffix": F.substring_index("host", ".", -1), "k_domain": F.substring_index("host", ".", -2)})
 
 
-FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_parameters", "f_labels", "f_host", "f_hyphens", "f_secure", "f_suffix", "f_first")
+FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_parameters", "f_labels", "f_host", "f_hyphens", "f_secure", "f_suffix", "f_domain")
 
 
 def _with_statistics(df: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Adds how often labelled URLs of the same suffix, and of the same first path part, were blocked.
+    """Adds how often labelled URLs of the same suffix, and of the same last two labels, were blocked.
 
     Sixteen steps of the smoothed share; keys without labels get the middle. Keys may be
     many and hot: counts are aggregated before they are joined, and the join isn't forced.
     """
-    for key, name in (("k_suffix", "f_suffix"), ("k_first", "f_first")):
+    for key, name in (("k_suffix", "f_suffix"), ("k_domain", "f_domain")):
         share = (F.sum("y") + 1) / (F.count("*") + 2)
         stats = labelled.groupBy(key).agg(F.floor(share * 16).cast("int").alias(name))
         df = df.join(stats, key, "left").withColumn(name, F.coalesce(name, F.lit(8)))
     return df
 
 
-def _leaf(tree: list, path: str = "") -> Column:
-    """The leaf's value, or with numbers=True its path, as nested conditions."""
+def _leaf(tree: list) -> Column:
+    """A row's value, as nested conditions."""
     if tree[0] == "leaf":
         return F.lit(float(tree[1]))
     _, feature, at, low, high = tree
@@ -110,6 +110,7 @@ def _leaf(tree: list, path: str = "") -> Column:
 
 
 def _paths(tree: list, path: str = "n") -> Column:
+    """The name of a row's leaf: n, and 0 or 1 for each turn."""
     if tree[0] == "leaf":
         return F.lit(path)
     _, feature, at, low, high = tree
