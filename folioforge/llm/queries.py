@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import decontam, license_scan, lz_fingerprint, mixing, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from folioforge.llm import decontam, license_scan, lz_fingerprint, mixing, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from folioforge.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,7 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_lz_fingerprints, op3_mix_sources, op5_benchmark_decontamination, op6_url_filter, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op1_license_scan, op2_lz_fingerprints, op3_mix_sources, op4_quality_resampling, op5_benchmark_decontamination, op6_url_filter, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
