@@ -42,7 +42,7 @@ SPAN, DECAY = 5, 0.5
 #: Landmarks to begin with, and those that each further fit adds where the last one is wrong.
 LANDMARKS, MORE = 192, 160
 #: Labelled texts of each kind that training takes at most, and the longest one (characters).
-SAMPLE, LONGEST = 1500, 12_000
+SAMPLE, LONGEST = 1200, 12_000
 THRESHOLD = 0.7
 #: Weight of a text's second worst word beside its worst.
 SECOND = 0.5
@@ -220,8 +220,8 @@ def _kernel_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return w, u, v / _norms(int(size.max()))[size[w]]
 
 
-def _features(words: list[str], table: np.ndarray) -> np.ndarray:
-    """Kernel of each word with each landmark; table: (triples, landmarks)."""
+def _features(words: list[str], table: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Kernel of each word with each landmark; table: (triples, landmarks), place: each triple's row."""
     out = np.zeros((len(words), table.shape[1]), np.float32)
     for at in range(0, len(words), 2000):
         part = words[at : at + 2000]
@@ -229,7 +229,7 @@ def _features(words: list[str], table: np.ndarray) -> np.ndarray:
         number = np.cumsum(flat == _EDGE) - 1
         for i, u, w in triples(flat):
             first = np.flatnonzero(np.append(True, number[i][1:] != number[i][:-1]))
-            out[at + number[i][first]] += w * np.add.reduceat(table[u], first, axis=0)
+            out[at + number[i][first]] += w * np.add.reduceat(table[place[u]], first, axis=0)
         size = np.bincount(number[flat != _EDGE], minlength=len(part)) + 2
         out[at : at + len(part)] /= _norms(int(size.max()))[size][:, None]
     return out
@@ -237,7 +237,7 @@ def _features(words: list[str], table: np.ndarray) -> np.ndarray:
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss, by damped Newton steps over the words within the margin."""
-    xb = np.hstack([x, np.ones((len(x), 1))])
+    xb = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     ridge = np.eye(xb.shape[1])
     ridge[-1, -1] = 1e-3
 
@@ -265,7 +265,11 @@ def _inserted(word: str, rng: np.random.Generator, letters: list[str]) -> str:
 
 
 def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
-    """Fits the model to labelled texts."""
+    """Fits the model to labelled texts; a third of the clean ones only sets the threshold."""
+    kept_back = [i for n, i in enumerate(i for i, k in enumerate(toxic) if not k) if n % 3 == 2]
+    others = [texts[i] for i in kept_back]
+    back = set(kept_back)
+    texts, toxic = [t for i, t in enumerate(texts) if i not in back], [k for i, k in enumerate(toxic) if i not in back]
     y = np.array(toxic, np.int64)
     bags = [sorted(_clean(set(t.lower().split()))) for t in texts]
     apart = _apart(bags)
@@ -276,19 +280,20 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     n_pos, n_neg = int(y.sum()), int((1 - y).sum())
     # letter runs (with edges) that tell toxic texts from others, each counted once a text
-    seen = [Counter(), Counter()]
-    runs_of: dict[str, set[str]] = {}
-
     def runs(word: str) -> set[str]:
-        if word not in runs_of:
-            marked = f"^{word}$"
-            runs_of[word] = {marked[i : i + k] for k in (4, 5, 6) for i in range(len(marked) - k + 1)} | {marked}
-        return runs_of[word]
+        marked = f"^{word}$"
+        return {marked[i : i + k] for k in (4, 5, 6) for i in range(len(marked) - k + 1)} | {marked}
 
+    seen = [Counter(), Counter()]
     known = [Counter(), Counter()]
     for bag, label in zip(bags, toxic):
-        seen[label].update(set().union(*map(runs, bag)) if bag else ())
         known[label].update(bag)
+        if label:
+            seen[1].update(set().union(*map(runs, bag)) if bag else ())
+    seen[1] = Counter({g: k for g, k in seen[1].items()})
+    for bag, label in zip(bags, toxic):
+        if not label:  # only runs that toxic texts share are counted
+            seen[0].update({g for w in bag for g in runs(w) if g in seen[1]})
     share = n_pos / (n_pos + n_neg)
 
     def telling(k: int, c: int) -> float:
@@ -297,7 +302,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
             return 0.0
         return 2 * (k * np.log(k / ((k + c) * share)) + (c * np.log(c / ((k + c) * (1 - share))) if c else 0.0))
 
-    odds = {g: telling(k, seen[0][g]) for g, k in seen[1].items() if k > 1}
+    odds = {g: telling(k, seen[0][g]) for g, k in seen[1].items()}
     power_of: dict[str, float] = {}
 
     def power(word: str) -> float:
@@ -326,17 +331,20 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
         words = grown + sample
         label = np.array([1.0] * len(grown) + [-1.0] * len(sample))
         # a witness counts by how many texts have it, its inserted copies less
-        often = np.sqrt([max(1, witness[w]) for w in positive] + [0.3 * max(1, witness[w]) for w in positive if len(w) > 3])
+        often = np.array([max(1, witness[w]) for w in positive] + [0.2 * max(1, witness[w]) for w in positive if len(w) > 3], float)
         weight = np.concatenate([often * len(words) / (2 * often.sum()), np.full(len(sample), len(words) / (2 * len(sample)))])
-        dense = np.zeros((LETTERS**3, len(landmarks)), np.float32)
         w, u, v = _kernel_rows(landmarks)
-        np.add.at(dense, (u, w), v)
+        own = np.unique(u)  # the landmarks' triples; row 0 stands for all others
+        place = np.zeros(LETTERS**3, np.int32)
+        place[own] = np.arange(1, len(own) + 1)
+        dense = np.zeros((len(own) + 1, len(landmarks)), np.float32)
+        np.add.at(dense, (place[u], w), v)
         values, vectors = np.linalg.eigh((dense.T @ dense).astype(np.float64))
         good = values > 1e-5 * values.max()
         root = vectors[:, good] / np.sqrt(values[good])
-        x = _features(words, dense) @ root
+        x = (_features(words, dense, place) @ root).astype(np.float32)
         beta, bias = _svm(x, label, weight)
-        table = dense @ (root @ beta)
+        table = (dense @ (root @ beta))[place]
         if turn == 3:
             break
         # witnesses again: each toxic text's worst word, and the worst ones of clean texts
@@ -349,13 +357,13 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
                 again[top] += 1
         positive = list(again) or positive
         hard = sorted(known[0], key=lambda w: (-score[w], w))[:2500]
-        sample = list(dict.fromkeys(hard + sample))[:12_000]
+        sample = list(dict.fromkeys(hard + sample))[:9000]
         # landmarks where the fit is wrong, clean words first
         low = sorted(positive, key=lambda w: (score[w], w))[:200]
         landmarks = _spread(landmarks + hard[:600], len(landmarks) + MORE * 3 // 4, 0.9)
         landmarks = _spread(landmarks + low, len(landmarks) + MORE // 4, 0.9)
-    worst = Model(table, bias, 1.0, 0.0).worst(texts)
-    slope, shift = _logistic(worst, y)
+    raw = Model(table, bias, 1.0, 0.0)
+    slope, shift = _logistic(raw.worst(others or texts), raw.worst([t for t, k in zip(texts, toxic) if k]))
     return Model(table, bias, slope, shift)
 
 
@@ -385,12 +393,13 @@ def _word_margins(words: list[str], table: np.ndarray, bias: float) -> np.ndarra
     return np.concatenate(out)
 
 
-def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and middle of a curve between clean texts' margins and toxic ones'; a score of 0.7 asks for the gap's middle."""
-    low, high = np.quantile(m[y == 0], 0.995), np.quantile(m[y == 1], 0.03)
-    middle = (low + high) / 2
-    slope = 4.0 / max(abs(high - low) / 2, 0.15)
-    return float(slope), float(middle - np.log(0.7 / 0.3) / slope)
+def _logistic(clean: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+    """Slope and middle of the curve; a score of 0.7 lies between clean margins, of texts that
+    training didn't see, and toxic ones, and never below what but few clean texts pass."""
+    low, high = np.quantile(clean, 0.997), np.quantile(toxic, 0.03)
+    at = max(low, (low + high) / 2)
+    slope = 3.0 / max(abs(high - low) / 2, 0.25)
+    return float(slope), float(at - np.log(0.7 / 0.3) / slope)
 
 
 # ------------------------------------------------------------------------ Spark
