@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.functions.text import chunk_id, embed_text, node_text, strip_u
 from folioforge.operators.labels import HEADINGS
@@ -44,7 +45,7 @@ def fold(text: str | None) -> str:
     return " ".join(ascii_.lower().split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold(s: pd.Series) -> pd.Series:
     return s.map({t: fold(t) for t in s.unique()})
 

@@ -1,17 +1,400 @@
-"""Registered queries over the provided tables, with their SQL counterparts."""
+"""Registered queries over the provided tables, with their SQL counterparts.
+
+The provided tables hold no leaflets, so operators run on these tables directly or on texts
+that both sides build with the same expression.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from folioforge.functions import text as tx
+from folioforge.operators import evaluate, labels, load, search
+from folioforge.sources import html as html_source
+from folioforge.sources import jsonl, sqldump
+
+FLAGSHIP = "confusion_metrics"
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
 
-FLAGSHIP = "table_counts_union"
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# ---------------------------------------------------------------- sources and filters
+
+
+@_query("""SELECT page_id, list_extract(string_split(url, '/'), -1) AS filename FROM pages
+WHERE starts_with(list_extract(string_split(url, '/'), -1), '1') AND regexp_matches(list_extract(string_split(url, '/'), -1), '\\.html?$')""")
+def scan_filter_files(spark, sf):
+    name = tx.basename(F.col("url"))
+    return _t(spark, sf, "pages").select("page_id", name.alias("filename")).filter(F.col("filename").startswith("1") & F.col("filename").rlike(r"\.html?$"))
+
+
+@_query("""WITH n AS (SELECT event_id, 'parsed_N_' || CASE WHEN event_id % 7 = 0 THEN 'undated' ELSE strftime(ts, '%Y%m%d') END || '_batch001.jsonl' AS name,
+CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS d FROM events)
+SELECT event_id, name FROM n WHERE coalesce(d >= DATE '2024-01-15', true)""")
+def since_fail_open(spark, sf):
+    day = F.when(F.col("event_id") % 7 == 0, "undated").otherwise(F.date_format("ts", "yyyyMMdd"))
+    names = _t(spark, sf, "events").select("event_id", F.concat(F.lit("parsed_N_"), day, F.lit("_batch001.jsonl")).alias("name"))
+    return jsonl.parsed_files(names, "name", "2024-01-15")
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def allow_list_semi(spark, sf):
+    allowed = _t(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return _t(spark, sf, "orders").select("o_orderkey", "o_custkey").join(allowed, "o_custkey", "left_semi")
+
+
+@_query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def missing_anti(spark, sf):
+    return evaluate.missing(_t(spark, sf, "documents").select("doc_id", "lang"), _t(spark, sf, "labels"), "doc_id")
+
+
+@_query("""SELECT l_orderkey, arg_max(p_name, l_linenumber::BIGINT * 1000000000 + l_partkey) AS p_name, max(l_linenumber) AS l_linenumber
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey""")
+def filename_map_last_wins(spark, sf):
+    rows = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(_t(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+    return evaluate.last_wins(rows, ["l_orderkey"], ["l_linenumber", "l_partkey"]).select("l_orderkey", "p_name", "l_linenumber")
+
+
+@_query("SELECT c_custkey, coalesce(max(o_orderpriority), '') AS priority FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
+def lookup_default(spark, sf):
+    top = _t(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("p"))
+    return _t(spark, sf, "customer").select("c_custkey").join(top, "c_custkey", "left").select("c_custkey", F.coalesce("p", F.lit("")).alias("priority"))
+
+
+@_query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events WHERE json_valid(props)")
+def json_props(spark, sf):
+    v = F.try_parse_json("props")
+    return _t(spark, sf, "events").filter(v.isNotNull()).select("event_id", F.try_variant_get(v, "$.k", "long").alias("k"))
+
+
+@_query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey::VARCHAR AS n_regionkey FROM nation")
+def sql_dump_rows(spark, sf):
+    quoted = F.concat(F.lit("("), F.col("n_nationkey").cast("string"), F.lit(", N'"), F.replace("n_name", F.lit("'"), F.lit("''")), F.lit("', "), F.col("n_regionkey").cast("string"), F.lit(")"))
+    dump = _t(spark, sf, "nation").groupBy("n_regionkey").agg(F.concat(F.lit("PRINT 'x';\nINSERT INTO [dbo].[nation] ([n_nationkey], [n_name], [n_regionkey]) VALUES "), F.array_join(F.array_sort(F.collect_list(quoted)), ", "), F.lit(";\n")).alias("value"))
+    return sqldump.as_columns(sqldump.insert_rows(dump), ["n_nationkey", "n_name", "n_regionkey"])
+
+
+@_query("SELECT r_regionkey::VARCHAR AS r_regionkey, r_name FROM region")
+def csv_arity_filter(spark, sf):
+    """Lines of two declared fields, among lines of one and three."""
+    line = F.concat_ws("|", F.col("r_regionkey").cast("string"), "r_name")
+    lines = _t(spark, sf, "region").select(F.explode(F.array(line, F.col("r_name"), F.concat(line, F.lit("|x")))).alias("value"))
+    return lines.filter(F.size(F.split("value", r"\|")) == 2).select(F.from_csv("value", "r_regionkey string, r_name string", {"sep": "|"}).alias("r")).select("r.*")
+
+
+# ------------------------------------------------------------------ scalar functions
+
+
+@_query("""SELECT doc_id, md5(replace(replace(translate('a’b‘c‑d–e≥f≤' || text, '’‘‑–', '''''--'), '≥', '>='), '≤', '<=')) AS h FROM documents""")
+def normalise_text(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(tx.normalise_text(F.concat(F.lit("a’b‘c‑d–e≥f≤"), "text")).cast("binary")).alias("h"))
+
+
+@_query("""SELECT doc_id, translate(left(text, 40), '0123456789abcdefghijklmnoprstuvwxyzABDEGHIJKLMNOPRTUVW+-=()', '⁰¹²³⁴⁵⁶⁷⁸⁹ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻᴬᴮᴰᴱᴳᴴᴵᴶᴷᴸᴹᴺᴼᴾᴿᵀᵁⱽᵂ⁺⁻⁼⁽⁾') AS sup,
+translate(left(text, 40), '0123456789aehijklmnoprstuvx+-=()', '₀₁₂₃₄₅₆₇₈₉ₐₑₕᵢⱼₖₗₘₙₒₚᵣₛₜᵤᵥₓ₊₋₌₍₎') AS sub FROM documents""")
+def sup_sub(spark, sf):
+    head = F.left(F.col("text"), F.lit(40))
+    return _t(spark, sf, "documents").select("doc_id", tx.superscript(head).alias("sup"), tx.subscript(head).alias("sub"))
+
+
+@_query("""SELECT doc_id, md5(regexp_replace('<p>' || text || '<img alt="x" src="../images/i' || doc_id || '.png"></p>', '<img([^>]*?)src="\\.\\./images/([^"]+)"([^>]*?)(?:\\s*/)?>', '<img\\1src="https://cdn.example.org/images/\\2"\\3 />', 'gi')) AS h FROM documents""")
+def rewrite_img(spark, sf):
+    html = F.concat(F.lit("<p>"), "text", F.lit('<img alt="x" src="../images/i'), F.col("doc_id").cast("string"), F.lit('.png"></p>'))
+    return _t(spark, sf, "documents").select("doc_id", F.md5(tx.rewrite_images(html).cast("binary")).alias("h"))
+
+
+@_query("SELECT doc_id, md5('<b>' || text || '</b>') AS h FROM documents")
+def clean_anchor_html(spark, sf):
+    html = F.concat(F.lit('<b><a name="x">'), "text", F.lit("</a></b>"))
+    return _t(spark, sf, "documents").select("doc_id", F.md5(tx.unanchor(html).cast("binary")).alias("h"))
+
+
+@_query("""SELECT p_partkey, array_to_string([left(p_brand, n) FOR n IN [1, 3, 4, 5, 7] IF n <= length(p_brand)], ',') AS codes FROM part""")
+def atc_ancestors(spark, sf):
+    return _t(spark, sf, "part").select("p_partkey", F.array_join(tx.code_ancestors(F.col("p_brand")), ",").alias("codes"))
+
+
+@_query("""SELECT count(*) AS n, sum(CASE WHEN try_cast(l_quantity::VARCHAR AS DOUBLE) IS NULL THEN 1 ELSE 0 END)::BIGINT AS bad, round(sum(l_quantity), 2) AS q FROM lineitem""")
+def cast_load(spark, sf):
+    text = _t(spark, sf, "lineitem").select(F.col("l_quantity").cast("string").alias("l_quantity"))
+    good, bad = load.typed(text, {"l_quantity": "double"})
+    return good.agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("q")).crossJoin(bad.agg(F.count("*").alias("bad"))).select("n", "bad", "q")
+
+
+# ------------------------------------------------------------------ windows and trees
+
+_LINES_SQL = """lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)"""
+
+
+def _lines(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+
+
+@_query("""WITH m AS (SELECT user_id, event_id, event_type, CASE WHEN lag(event_type) OVER w = event_type THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM m)
+SELECT user_id, run::BIGINT AS run, min(event_type) AS event_type, count(*) AS n, min(event_id) AS first_id FROM r GROUP BY user_id, run""")
+def bullet_runs(spark, sf):
+    w = W.partitionBy("user_id").orderBy("event_id")
+    e = _t(spark, sf, "events").select("user_id", "event_id", "event_type")
+    e = e.withColumn("new", F.when(F.lag("event_type").over(w) == F.col("event_type"), 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
+    return e.groupBy("user_id", "run").agg(F.min("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_id"))
+
+
+@_query("""SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'signup' THEN props END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id), '') AS carried FROM events""")
+def carry_forward(spark, sf):
+    w = W.partitionBy("user_id").orderBy("event_id")
+    last = F.last(F.when(F.col("event_type") == "signup", F.col("props")), True).over(w)
+    return _t(spark, sf, "events").select("event_id", F.coalesce(last, F.lit("")).alias("carried"))
+
+
+@_query("WITH " + _LINES_SQL + """, a AS (SELECT doc_id, pos, line, max(CASE WHEN pos % 5 = 0 THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos) AS t1 FROM lines)
+SELECT doc_id, pos, t1, max(CASE WHEN pos % 3 = 0 AND pos % 5 <> 0 THEN pos END) OVER (PARTITION BY doc_id, t1 ORDER BY pos) AS t2, md5(line) AS h FROM a""")
+def section_tree(spark, sf):
+    n = _lines(spark, sf)
+    n = n.withColumn("t1", F.last(F.when(F.col("pos") % 5 == 0, F.col("pos")), True).over(W.partitionBy("doc_id").orderBy("pos")))
+    two = F.when((F.col("pos") % 3 == 0) & (F.col("pos") % 5 != 0), F.col("pos"))
+    n = n.withColumn("t2", F.last(two, True).over(W.partitionBy("doc_id", "t1").orderBy("pos")))
+    return n.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("t1").cast("long").alias("t1"), F.col("t2").cast("long").alias("t2"), F.md5(F.col("line").cast("binary")).alias("h"))
+
+
+_CHUNK_SQL = "WITH " + _LINES_SQL + """, n AS (SELECT *, sum(CASE WHEN pos % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS chunk FROM lines),
+c AS (SELECT doc_id, chunk::BIGINT AS chunk, max(CASE WHEN pos % 3 = 0 THEN line END) AS sub, coalesce(string_agg(CASE WHEN pos % 3 <> 0 THEN line END, ' ' ORDER BY pos), '') AS body FROM n GROUP BY doc_id, chunk)
+SELECT doc_id, chunk, """
+
+
+def _chunks(spark, sf):
+    n = _lines(spark, sf).withColumn("chunk", F.sum((F.col("pos") % 3 == 0).cast("int")).over(W.partitionBy("doc_id").orderBy("pos")))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("pos") % 3 != 0, F.struct("pos", "line")))), lambda x: x["line"]), " ")
+    return n.groupBy("doc_id", "chunk").agg(F.max(F.when(F.col("pos") % 3 == 0, F.col("line"))).alias("sub"), body.alias("body"))
+
+
+@_query(_CHUNK_SQL + "md5(sub) AS sub_hash, md5(body) AS body_hash FROM c")
+def flat_chunks(spark, sf):
+    return _chunks(spark, sf).select("doc_id", "chunk", F.md5(F.col("sub").cast("binary")).alias("sub_hash"), F.md5(F.col("body").cast("binary")).alias("body_hash"))
+
+
+@_query(_CHUNK_SQL + "doc_id || '_s_' || left(md5(CASE WHEN sub <> '' THEN 'T > ' || sub || ': ' || body ELSE 'T: ' || body END), 8) AS id FROM c")
+def chunk_ids(spark, sf):
+    embedded = tx.embed_text(F.lit("T"), F.col("sub"), F.col("body"))
+    return _chunks(spark, sf).select("doc_id", "chunk", tx.chunk_id(F.col("doc_id").cast("string"), F.lit("s"), embedded).alias("id"))
+
+
+@_query("WITH " + _LINES_SQL + " SELECT doc_id, min(pos) AS pos, md5(arg_min(line, pos)) AS h FROM lines WHERE length(line) > 60 GROUP BY doc_id")
+def first_match_section(spark, sf):
+    return _lines(spark, sf).filter(F.length("line") > 60).groupBy("doc_id").agg(F.min("pos").cast("long").alias("pos"), F.md5(F.min_by("line", "pos").cast("binary")).alias("h"))
+
+
+@_query("SELECT conv_id || '_' || role AS id, max(turn) AS turn, md5(arg_max(text, turn)) AS h FROM conversations GROUP BY 1")
+def section_docs_dedupe(spark, sf):
+    c = _t(spark, sf, "conversations").select(F.concat_ws("_", F.col("conv_id").cast("string"), "role").alias("id"), "turn", "text")
+    return evaluate.last_wins(c, ["id"], ["turn"]).select("id", "turn", F.md5(F.col("text").cast("binary")).alias("h"))
+
+
+@_query("WITH " + _LINES_SQL + """, n AS (SELECT doc_id, printf('%06d', pos - pos % 5) AS head, printf('%06d', pos) AS node, pos FROM lines)
+SELECT doc_id, head AS node_id, coalesce(string_agg(CASE WHEN node <> head THEN node END, ',' ORDER BY pos), '') AS children FROM n GROUP BY doc_id, head""")
+def tree_nodes_ids(spark, sf):
+    n = _lines(spark, sf).select("doc_id", "pos", F.format_string("%06d", "pos").alias("node_id"), F.when(F.col("pos") % 5 != 0, F.format_string("%06d", F.col("pos") - F.col("pos") % 5)).alias("parent_id"))
+    heads = load.with_children(n).filter("parent_id is null")
+    return heads.select("doc_id", "node_id", F.coalesce(F.array_join("children", ","), F.lit("")).alias("children"))
+
+
+@_query("SELECT conv_id, md5(string_agg(text, ' ' ORDER BY turn)) AS h FROM conversations GROUP BY conv_id")
+def recursive_text(spark, sf):
+    """Nested JSON built per conversation (each turn below the one before), flattened and read back in order."""
+    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    docs = _t(spark, sf, "conversations").groupBy("conv_id").agg(turns.alias("t"))
+    leaf = lambda t: F.concat(F.lit('{"type":"b","content":'), F.substring(F.to_json(F.array(t)), 2, 1 << 30), F.lit(""))
+    nested = F.aggregate("t", F.lit(""), lambda s, t: F.concat(s, F.rtrim(leaf(t), F.lit("]")), F.lit(',"children":[')))
+    line = F.concat(F.lit('{"source":{"cis":"'), F.col("conv_id").cast("string"), F.lit('"},"content":['), nested, F.expr("repeat(']}', size(t))"), F.lit("]}"))
+    n = jsonl.nodes(docs.select(line.alias("value")))
+    text = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("path", "content"))), lambda x: x["content"])), " ")
+    return n.groupBy(F.col("cis").cast("long").alias("conv_id")).agg(F.md5(text.cast("binary")).alias("h"))
+
+
+@_query("SELECT page_id, len(regexp_extract_all(html, '<p[\\s>]'))::INTEGER AS paragraphs, len(regexp_extract_all(html, ' class=\"'))::INTEGER AS classed FROM pages")
+def pages_blocks(spark, sf):
+    pages = _t(spark, sf, "pages").select("page_id", "html")
+    nodes = html_source.html_nodes(pages, "page_id").groupBy("page_id").agg(F.count("*").cast("int").alias("classed"))
+    return pages.select("page_id", html_source.paragraphs(F.col("html")).alias("paragraphs")).join(nodes, "page_id", "left").select("page_id", "paragraphs", F.coalesce("classed", F.lit(0)).alias("classed"))
+
+
+# ------------------------------------------------------------------------- rules
+
+_WORDS = ("que", "pour", "mention", "tion", "zz")
+_RULES = labels.Rules(keywords=_WORDS, ages=(r"[0-9]+ ?[a-z]+",), negatives=("ment", "eau", "ing"), adult=("ver",), tie_break={"AB": "AB", "AC": "AC", "BC": "B", "ABC": "AB"})
+_KW_SQL = "list_distinct(list_concat([k FOR k IN ['que', 'pour', 'mention', 'tion', 'zz'] IF contains(low, k)], regexp_extract_all(low, '[0-9]+ ?[a-z]+')))"
+
+
+@_query(f"WITH d AS (SELECT doc_id, lower(text) AS low FROM documents) SELECT doc_id, array_to_string(list_sort({_KW_SQL}), '|') AS keywords FROM d")
+def keyword_scan(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.array_join(F.array_sort(labels.find_keywords(F.col("text"), _RULES)), "|").alias("keywords"))
+
+
+@_query("SELECT doc_id, CASE WHEN contains(lower(text), 'ment') THEN 'ment' WHEN contains(lower(text), 'eau') THEN 'eau' WHEN contains(lower(text), 'ing') THEN 'ing' END AS negative FROM documents")
+def negative_first(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", labels.first_negative(F.col("text"), _RULES).alias("negative"))
+
+
+_LABEL_SQL = """t AS (SELECT doc_id, string_split(lower(text), chr(10)) AS a FROM documents),
+p AS (SELECT doc_id, a[1:2] AS m, a[3:3] AS x, array_to_string(a[1:2], ' ') AS j FROM t),
+k AS (SELECT *, [s FOR s IN m IF regexp_matches(s, 'que|pour|mention|tion|zz|[0-9]+ ?[a-z]+')] AS km, [s FOR s IN x IF regexp_matches(s, 'que|pour|mention|tion|zz|[0-9]+ ?[a-z]+')] AS kx FROM p),
+f AS (SELECT doc_id, len([s FOR s IN km IF NOT regexp_matches(s, 'ment|eau|ing')]) > 0 AS a0, len(kx) > 0 AS b0,
+len([s FOR s IN km IF regexp_matches(s, 'ment|eau|ing')]) > 0 OR len(km) = 0 OR contains(j, 'ver') AS c0 FROM k),
+s AS (SELECT doc_id, CASE WHEN a0 THEN 'A' ELSE '' END || CASE WHEN b0 THEN 'B' ELSE '' END || CASE WHEN c0 THEN 'C' ELSE '' END AS sig FROM f),
+r AS (SELECT doc_id, sig, CASE sig WHEN 'BC' THEN 'B' WHEN 'ABC' THEN 'AB' ELSE sig END AS final FROM s)"""
+
+
+def _labelled(spark, sf):
+    lines = F.split("text", "\n")
+    docs = _t(spark, sf, "documents").select("doc_id", F.slice(lines, 1, 2).alias("texts_main"), F.slice(lines, 3, 1).alias("texts_contra"), F.lit(None).cast("string").alias("code"))
+    return labels.classify(docs, rules=_RULES)
+
+
+@_query("WITH " + _LABEL_SQL + " SELECT doc_id, contains(final, 'A') AS label_a, contains(final, 'B') AS label_b, contains(final, 'C') AS label_c FROM r")
+def label_rules(spark, sf):
+    return _labelled(spark, sf).select("doc_id", "label_a", "label_b", "label_c")
+
+
+@_query("WITH " + _LABEL_SQL + " SELECT sig, final, count(*) AS n FROM r GROUP BY sig, final")
+def tie_break(spark, sf):
+    sig = F.concat(*[F.when(F.size(f"reasons_{x}") > 0, x.upper()).otherwise("") for x in "abc"])
+    return _labelled(spark, sf).select(sig.alias("sig"), labels.break_tie(sig, _RULES).alias("final")).groupBy("sig", "final").agg(F.count("*").alias("n"))
+
+
+_PAIR_SQL = "WITH " + _LABEL_SQL + """, q AS (SELECT contains(final, 'A') AS pa, quality = 1 AS ta, contains(final, 'C') AS pc, toxic = 1 AS tc FROM r JOIN labels USING (doc_id)),
+u AS (SELECT 'a' AS label, pa AS p, ta AS t FROM q UNION ALL SELECT 'c', pc, tc FROM q), """
+
+
+def _pairs(spark, sf):
+    truth = _t(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("true_a"), (F.col("toxic") == 1).alias("true_c"))
+    return _labelled(spark, sf).select("doc_id", F.col("label_a").alias("pred_a"), F.col("label_c").alias("pred_c")).join(truth, "doc_id")
+
+
+@_query(_PAIR_SQL + """c AS (SELECT label, count(*) FILTER (p AND t) AS tp, count(*) FILTER (p AND NOT t) AS fp, count(*) FILTER (NOT p AND t) AS fn, count(*) FILTER (NOT p AND NOT t) AS tn FROM u GROUP BY label)
+SELECT label, tp, fp, fn, tn, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
+round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0), 6) AS accuracy FROM c""")
+def confusion_metrics(spark, sf):
+    m = evaluate.confusion(_pairs(spark, sf), ["a", "c"])
+    return m.select("label", "tp", "fp", "fn", "tn", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f1", "accuracy")])
+
+
+@_query(_PAIR_SQL + "c AS (SELECT count(*) AS total, count(*) FILTER (pa = ta AND pc = tc) AS exact FROM q) SELECT total, exact, round(exact / total, 6) AS rate FROM c")
+def exact_match(spark, sf):
+    return evaluate.exact_match(_pairs(spark, sf), ["a", "c"]).withColumn("rate", F.round("rate", 6))
+
+
+@_query("WITH " + _LABEL_SQL + """, l AS (SELECT doc_id, quality::VARCHAR AS truth FROM labels)
+SELECT r.doc_id, contains(final, 'A')::INTEGER AS label_a, coalesce(truth, '') AS truth, 'found' AS state FROM r LEFT JOIN l USING (doc_id) WHERE r.doc_id % 3 <> 0
+UNION ALL SELECT doc_id, NULL, truth, 'missing' FROM l WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0)""")
+def prediction_report(spark, sf):
+    truth = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("truth"))
+    found = _labelled(spark, sf).filter("doc_id % 3 <> 0").select("doc_id", F.col("label_a").cast("int").alias("label_a"))
+    rows = found.join(truth, "doc_id", "left").select("doc_id", "label_a", F.coalesce("truth", F.lit("")).alias("truth"), F.lit("found").alias("state"))
+    return rows.unionByName(evaluate.missing(truth, found, "doc_id").withColumn("state", F.lit("missing")), allowMissingColumns=True)
+
+
+# ----------------------------------------------------- lookups, search, loads, counts
+
+
+@_query("""SELECT o_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey), '') AS names FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey AND p_partkey % 2 = 0 GROUP BY o_orderkey""")
+def enrich_docs(spark, sf):
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
+    groups = _t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(lines.alias("ids"))
+    docs = _t(spark, sf, "orders").select("o_orderkey").join(groups, "o_orderkey", "left")
+    parts = _t(spark, sf, "part").filter("p_partkey % 2 = 0").select("p_partkey", "p_name")
+    return load.lookup_all(docs, "o_orderkey", "ids", parts, "p_partkey", "p_name", "names").select("o_orderkey", F.array_join("names", "|").alias("names"))
+
+
+@_query("""WITH u AS (SELECT n_nationkey AS code, n_name AS label FROM nation UNION ALL SELECT r_regionkey, r_name FROM region UNION ALL SELECT s_nationkey, s_name FROM supplier)
+SELECT code, string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM u WHERE code IS NOT NULL AND label IS NOT NULL GROUP BY code""")
+def label_sets_union(spark, sf):
+    pick = lambda t, k, v: _t(spark, sf, t).select(F.col(k).alias("code"), F.col(v).alias("label"))
+    sets = load.label_sets(pick("nation", "n_nationkey", "n_name"), pick("region", "r_regionkey", "r_name"), pick("supplier", "s_nationkey", "s_name"))
+    return sets.select("code", F.array_join("labels", "|").alias("labels"))
+
+
+@_query("""WITH k AS (SELECT lang, source, doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS r FROM documents),
+c AS (SELECT lang, source, count(*) AS n, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) FILTER (r <= 5) AS top_ids FROM k GROUP BY lang, source),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, source) AS rank FROM c) SELECT lang, source, n, top_ids, rank::INTEGER AS rank FROM o WHERE rank <= 10""")
+def terms_top_hits(spark, sf):
+    return search.terms(_t(spark, sf, "documents"), "lang", "source", 10, "doc_id").select("lang", "source", "n", "top_ids", "rank")
+
+
+@_query("""WITH q AS (SELECT embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT e FROM q)), 6) AS score FROM embeddings)
+SELECT vec_id, score FROM s ORDER BY score DESC, vec_id LIMIT 5""")
+def knn_top5(spark, sf):
+    v = _t(spark, sf, "embeddings")
+    return search.nearest(v, v.filter("vec_id = 0").first()["embedding"])
+
+
+@_query("""WITH n AS (SELECT doc_id % 100 AS key, doc_id::VARCHAR AS id, md5(text) AS h FROM documents), o AS (SELECT key, id, CASE WHEN key % 10 = 3 THEN 'x' ELSE h END AS g FROM n WHERE NOT (key % 10 = 7 AND id::BIGINT < 200)),
+b AS (SELECT coalesce(n.key, o.key) AS key, h, g FROM n FULL JOIN o ON n.key = o.key AND n.id = o.id) SELECT key, bool_and(coalesce(h = g, false)) AND count(h) > 0 AS valid FROM b GROUP BY key""")
+def cache_validity(spark, sf):
+    now = _t(spark, sf, "documents").select((F.col("doc_id") % 100).alias("key"), F.col("doc_id").cast("string").alias("id"), F.md5(F.col("text").cast("binary")).alias("content_hash"))
+    old = now.filter("not (key % 10 = 7 and cast(id as long) < 200)").withColumn("content_hash", F.when(F.col("key") % 10 == 3, "x").otherwise(F.col("content_hash")))
+    return search.cache_hits(now, old)
+
+
+@_query("""SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 4 <> 0 UNION ALL SELECT o_orderkey, 'X', o_totalprice + 1 FROM orders WHERE o_orderkey % 4 = 0""")
+def upsert_merge(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    new = o.filter("o_orderkey % 4 = 0").select("o_orderkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("seq"), "o_totalprice")
+    new = new.select("o_orderkey", F.when(F.col("seq") == 1, "X").otherwise("old").alias("o_orderstatus"), (F.col("o_totalprice") + F.col("seq")).alias("o_totalprice"), "seq")
+    return load.upsert(o, new, ["o_orderkey"], ["seq"])
+
+
+@_query(" UNION ALL ".join(f"SELECT '{t}' AS tab, count(*) AS n FROM {t}" for t in TABLES))
+def table_counts_union(spark, sf):
+    out = None
+    for t in TABLES:
+        one = _t(spark, sf, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("tab"), "n")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+@_query("""WITH t AS (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents), p AS (SELECT term, doc_id, count(*) AS tf FROM t GROUP BY term, doc_id)
+SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM p GROUP BY term""")
+def posting_counts(spark, sf):
+    index = search.postings(_t(spark, sf, "documents"), "doc_id", "text", lambda c: F.split(F.lower(c), " "))
+    return index.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
+@_query("SELECT event_id, arg_max(event_type, ts) AS event_type FROM events GROUP BY event_id")
+def stream_delta(spark, sf):
+    """The events table through a file stream that takes what is there, upserted by key."""
+    import tempfile
+    import uuid
+
+    from folioforge.streaming.incremental import run_available, upsert_into
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='folioforge-stream-')}"
+    at = f"{base}/{uuid.uuid4().hex}"
+    run_available(spark, sf, _t(spark, sf, "events").schema.simpleString()[7:-1].replace(":", " "), f"{at}/state", upsert_into(f"{at}/out", ["event_id"], ["ts"]), pathGlobFilter="events.parquet")
+    return spark.read.parquet(f"{at}/out/v=0").select("event_id", "event_type")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from html import escape
 from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -152,8 +153,6 @@ def html_nodes(pages: DataFrame, key: str, html: str = "html", cdn: str | None =
     title's own row has its own position there. A level-2 title before any level-1 one is
     dropped. Consecutive bullets of a class are one listePuce node.
     """
-    import pandas as pd
-
     names = ("pos", "class", "tag", "text", "html", "anchor", "styles", "in_table", "cells")
 
     @F.pandas_udf(ELEMENTS)

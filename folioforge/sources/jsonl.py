@@ -51,13 +51,16 @@ def flatten_record(line: str | None) -> list[dict]:
     return out
 
 
-@F.pandas_udf(NODES)
-def _flatten(lines: pd.Series) -> pd.Series:
-    return lines.map(flatten_record)
+def _flatten():
+    @F.pandas_udf(NODES)
+    def run(lines: pd.Series) -> pd.Series:
+        return lines.map(flatten_record)
+
+    return run
 
 
 def nodes(records: DataFrame, value: str = "value") -> DataFrame:
     """cis, filename and the flat nodes of each record; one walk per record, no recursion in the plan."""
     source = F.try_parse_json(F.col(value))
     get = lambda p: F.try_variant_get(source, f"$.source.{p}", "string")
-    return records.select(get("cis").alias("cis"), get("filename").alias("filename"), F.explode(_flatten(F.col(value))).alias("n")).select("cis", "filename", "n.*")
+    return records.select(get("cis").alias("cis"), get("filename").alias("filename"), F.explode(_flatten()(F.col(value))).alias("n")).select("cis", "filename", "n.*")

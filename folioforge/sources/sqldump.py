@@ -80,14 +80,14 @@ def parse_inserts(text: str | None) -> list[dict]:
     return out
 
 
-@F.pandas_udf(ROWS)
-def _parse(s: pd.Series) -> pd.Series:
-    return s.map(parse_inserts)
-
-
 def insert_rows(dumps: DataFrame, column: str = "value") -> DataFrame:
     """stmt, row, tab, cols, vals of each row of each dump (one dump per input row)."""
-    return dumps.select(F.explode(_parse(F.col(column))).alias("r")).select("r.*")
+
+    @F.pandas_udf(ROWS)
+    def parse(s: pd.Series) -> pd.Series:
+        return s.map(parse_inserts)
+
+    return dumps.select(F.explode(parse(F.col(column))).alias("r")).select("r.*")
 
 
 def as_columns(rows: DataFrame, names: list[str]) -> DataFrame:
