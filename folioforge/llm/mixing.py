@@ -7,8 +7,8 @@ is above is shared again by weight among the others (water filling).
 Blocks. A hash spreads each source's documents over blocks of some 64 documents, whose
 numbers are a random permutation of the source. A source with target r times its words
 takes floor(r) whole passes, and in a last pass its first blocks, as many as fit. The
-block at the limit is filled document by document: every one that still fits is taken,
-and one that doesn't, if the sum then ends nearer to the target.
+block at the limit is filled by those of its documents whose sizes add up nearest to what
+is left.
 
 Shards. The taken blocks are split over the output shards by a tree: a node deals its
 quotas per source to its two halves by a multivariate hypergeometric draw, so that every
@@ -155,21 +155,37 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, bl
 _OWN = ["doc_id", "size", "hash", "none", "source", "block", "limit", "source_size", "target", "passes", "fits"]
 
 
+def nearest_subset(sizes: list[int], goal: int, tail: int = BLOCK_DOCS) -> list[bool]:
+    """Which sizes to take: in order while they fit, and of the last `tail` those whose sum comes
+    nearest to what is left (sums as bits of a number, a step per size)."""
+    fits, left = [], goal
+    for size in sizes[:-tail]:
+        fits.append(size <= left)
+        left -= size * fits[-1]
+    last = sizes[-tail:]
+    within = (1 << min(2 * left, sum(last)) + 1) - 1
+    reach = [1]
+    for size in last:
+        reach.append(reach[-1] | (reach[-1] << size & within))
+    low = (reach[-1] & (1 << left + 1) - 1).bit_length() - 1
+    above = reach[-1] >> left
+    high = left + (above & -above).bit_length() - 1 if above else 2 * left + 1
+    at = high if high - left < left - low else low
+    take = []
+    for size, before in zip(last[::-1], reach[-2::-1]):
+        own = not before >> at & 1
+        take.append(own)
+        at -= size * own
+    return fits + take[::-1]
+
+
 def _fill(edge: DataFrame) -> DataFrame:
-    """Takes each document of a source's last block that still fits; one block per source."""
+    """Fills a source's last block; one block per source."""
     schema = edge.schema.simpleString()[7:-1] + ",fits:boolean"
 
     def fill(group):
         group = group.sort_values(["hash", "doc_id", "size"], kind="stable")
-        left, fits = int(group["left"].iloc[0]), []
-        for size in group["size"].tolist():
-            fits.append(size <= left)
-            left -= size * fits[-1]
-        # one more may pass the target, if that ends nearer to it
-        out = [(abs(left - size), i) for i, (size, f) in enumerate(zip(group["size"].tolist(), fits)) if not f]
-        if out and min(out)[0] < left:
-            fits[min(out)[1]] = True
-        return group.assign(fits=fits)
+        return group.assign(fits=nearest_subset(group["size"].tolist(), int(group["left"].iloc[0])))
 
     return edge.groupBy("none", "source").applyInPandas(fill, schema.replace(":", " "))
 
