@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from folioforge.llm.common import stable
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published splitting pattern that belongs to the 50k byte-level vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -64,7 +66,7 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     The sums run in two levels, buckets of lengths and lengths within one, so no task
     gets more than SPAN rows plus one row per bucket.
     """
-    h = histogram.withColumn("bucket", F.floor(F.col("token_length") / SPAN))
+    h = stable(histogram).withColumn("bucket", F.floor(F.col("token_length") / SPAN))  # read twice below
     h = h.withColumn("tokens", F.col("n_docs") * F.col("token_length"))
     every = W.orderBy(F.col("bucket").desc())
     buckets = h.groupBy("bucket").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
