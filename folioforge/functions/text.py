@@ -86,7 +86,7 @@ def decode_bytes(content: Column) -> Column:
     """UTF-8 where the bytes are valid, else as Windows-1252 (by a table, since Spark's decode has no such name)."""
     utf8 = content.cast("string")
     high = "".join(bytes([b]).decode("cp1252", "replace") for b in range(128, 160))
-    latin = F.translate(F.decode(content, F.lit("ISO-8859-1")), "".join(map(chr, range(128, 160))), high)
+    latin = F.translate(F.decode(content, "ISO-8859-1"), "".join(map(chr, range(128, 160))), high)
     return F.when(F.is_valid_utf8(utf8), utf8).otherwise(latin)
 
 

@@ -48,7 +48,7 @@ def read_dataset(spark: SparkSession, d: Dataset, path: str) -> tuple[DataFrame,
     schema = ", ".join(f"`{c}` string" for c in d.columns) + ", _bad string"
     options = {"header": True, "sep": d.delimiter, "quote": d.quote, "escape": d.quote, "encoding": _ENCODINGS.get(d.encoding.lower(), d.encoding), "multiLine": True, "columnNameOfCorruptRecord": "_bad", "enforceSchema": True}
     rows = spark.read.schema(schema).options(**options).csv(path)
-    return rows.filter("_bad is null").drop("_bad"), rows.filter("_bad is not null").select(F.col("_bad").alias("value"))
+    return rows.filter("_bad is null").drop("_bad"), rows.filter("_bad is not null").withColumnRenamed("_bad", "value")
 
 
 def allow_list(lines: DataFrame, column: str = "value") -> DataFrame:
