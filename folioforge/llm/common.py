@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -73,5 +73,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def package_root() -> str:
-    return str(Path(__file__).resolve().parents[2])
+def give_back() -> None:
+    """Returns freed memory to the system, so that a worker that waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not with this C library
+        pass

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import id_and_bytes
+from folioforge.llm.common import give_back, id_and_bytes
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -184,6 +184,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                 n_hit = int((np.cumsum(hit) > 0).sum())
                 clean.append(not (n_hit > 0 and 20 * n_hit >= len(doc)))
             yield batch.select(["row"]).filter(pa.array(clean, pa.bool_()))
+            give_back()
 
     return packed.mapInArrow(keep, schema).select(*[F.col(f"row.`{c}`").alias(c) for c in names])
 

@@ -36,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import U64, mix64, stable
+from folioforge.llm.common import U64, give_back, mix64, stable
 
 DEPTH = 50
 GRAM = 16
 #: Bytes of text in a block and (of keys' origin) in a bucket, on average.
-BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 24 << 20
+BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20
 MANY = 8
 _NO_ID = np.iinfo(np.int64).max
 _PIECE, _BITS = 1 << 17, 17
@@ -218,6 +218,7 @@ def _received(group: pa.Table) -> tuple[list, list[np.ndarray], np.ndarray]:
 
 def _answer(origin: list, codes: np.ndarray, limits: np.ndarray) -> pa.Table:
     rows = [(*o, codes[a:b].tobytes()) for o, a, b in zip(origin, limits[:-1].tolist(), limits[1:].tolist())]
+    give_back()
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], _BACK_PA.field(i).type) for i in range(4)], schema=_BACK_PA)
 
 
@@ -245,12 +246,13 @@ def _judge_phrases(group: pa.Table) -> pa.Table:
     apart = (np.maximum.reduceat(d, heads) > np.minimum.reduceat(d, heads)) | (most == 2)
     # open: another phrase of the gram has the same bytes on a side, or can't be told
     some = np.flatnonzero(new)
-    open_ = (most > 0)[of]
+    open_ = (most > 0)[of[some]]
     for side in (sides[order][some] >> U64(12), sides[order][some] & U64(4095)):
         by = np.lexsort((side, g[some]))
         head = _starts(g[some][by], side[by])
         alike = np.add.reduceat(np.ones(len(by), np.int64), np.flatnonzero(head))[np.cumsum(head) - 1]
-        open_[some[by]] |= (alike > 1) & (side[by] > 0)
+        open_[by] |= (alike > 1) & (side[by] > 0)
+    open_ = open_[np.cumsum(new) - 1]  # rows of one id may lie in several blocks
     code = np.where((d > least) & (m == 0), 1, np.where(open_ & apart[of], 2, 0)).astype(np.uint8)
     codes = np.empty(len(code), np.uint8)
     codes[order] = code
@@ -285,6 +287,7 @@ def _gram_bits(size: int) -> int:
 def _load(docs: pa.Table, depth: int, bits: int) -> Block:
     from zstandard import ZstdDecompressor
 
+    give_back()  # of the block before
     unzip = ZstdDecompressor().decompress
     return Block(docs.column("doc_id").to_pylist(), [unzip(z.as_py()) for z in docs.column("z")], depth, bits)
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import mix64
+from folioforge.llm.common import give_back, mix64
 
 SPAN, DECAY = 5, 0.5
 #: Landmarks to begin with, and those that each further fit adds where the last one is wrong.
@@ -190,7 +190,7 @@ def _clean(words: set[str]) -> set[str]:
     return {w for w in ("".join(c for c in w if c.isalpha()) for w in words) if len(w) > 1}
 
 
-def _apart(bags: list[list[str]], hashes: int = 6) -> list[int]:
+def _apart(bags: list[list[str]], hashes: int = 8) -> list[int]:
     """Texts without near copies of earlier ones: a group of copies would make all its words telling."""
     seen: list[set] = [set() for _ in range(hashes)]
     out = []
@@ -199,7 +199,7 @@ def _apart(bags: list[list[str]], hashes: int = 6) -> list[int]:
         values = np.array([zlib.crc32(w.encode()) for w in rare] or [0], np.uint64)
         least = [int(x) for x in mix64(values[:, None] + np.arange(hashes, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).min(0)]
         # few words, as in very short texts, agree by chance: these count as apart unless they are equal
-        if sum(x in s for x, s in zip(least, seen)) < (2 if len(rare) > 6 else hashes):
+        if sum(x in s for x, s in zip(least, seen)) < (hashes // 2 if len(rare) > 6 else hashes):
             out.append(i)
         for x, s in zip(least, seen):
             s.add(x)
@@ -454,6 +454,7 @@ def _scorer(shared):
                 part = batch.slice(at, 512)
                 score = model.score([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64())], names=["row", "score"])
+            give_back()
 
     return run
 
