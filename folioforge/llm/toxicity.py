@@ -237,19 +237,23 @@ def _features(words: list[str], table: np.ndarray, place: np.ndarray) -> np.ndar
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss, by damped Newton steps over the words within the margin."""
-    xb = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    # single precision for the words, double for the small systems
+    xb = np.hstack([x.astype(np.float32, copy=False), np.ones((len(x), 1), np.float32)])
+    y, weight = y.astype(np.float32), weight.astype(np.float32)
     ridge = np.eye(xb.shape[1])
     ridge[-1, -1] = 1e-3
 
     def loss(w: np.ndarray) -> float:
-        return float(w @ ridge @ w + c * (weight * np.maximum(0, 1 - y * (xb @ w)) ** 2).sum())
+        return float(w @ ridge @ w + c * (weight * np.maximum(0, 1 - y * (xb @ w.astype(np.float32))) ** 2).sum(dtype=np.float64))
 
     w = np.zeros(xb.shape[1])
     now = loss(w)
     for _ in range(rounds):
-        inside = y * (xb @ w) < 1
-        a = xb[inside] * weight[inside, None]
-        step = np.linalg.solve(ridge + c * a.T @ xb[inside], c * a.T @ y[inside]) - w
+        inside = y * (xb @ w.astype(np.float32)) < 1
+        own = xb[inside]
+        a = own * weight[inside, None]
+        step = np.linalg.solve(ridge + c * (a.T @ own).astype(np.float64), c * (a.T @ y[inside]).astype(np.float64)) - w
+        del own, a
         part = 1.0
         while (then := loss(w + part * step)) > now and part > 1e-3:
             part /= 2
@@ -280,17 +284,18 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     n_pos, n_neg = int(y.sum()), int((1 - y).sum())
     # letter runs (with edges) that tell toxic texts from others, each counted once a text
-    def runs(word: str) -> set[str]:
-        marked = f"^{word}$"
-        return {marked[i : i + k] for k in (4, 5, 6) for i in range(len(marked) - k + 1)} | {marked}
+    def runs(word: str) -> set[int]:
+        """Letter runs by their CRC-32, which keeps the counts of a million of them small."""
+        marked = f"^{word}$".encode()
+        return {zlib.crc32(marked[i : i + k]) for k in (4, 5, 6) for i in range(len(marked) - k + 1)} | {zlib.crc32(marked)}
 
-    seen = [Counter(), Counter()]
     known = [Counter(), Counter()]
     for bag, label in zip(bags, toxic):
         known[label].update(bag)
-        if label:
-            seen[1].update(set().union(*map(runs, bag)) if bag else ())
-    seen[1] = Counter({g: k for g, k in seen[1].items()})
+    each = [np.fromiter(set().union(*map(runs, bag)), np.uint32) for bag, label in zip(bags, toxic) if label and bag]
+    found, times = np.unique(np.concatenate(each or [np.zeros(0, np.uint32)]), return_counts=True)
+    seen = [Counter(), Counter(dict(zip(found[times > 1].tolist(), times[times > 1].tolist())))]
+    del each, found, times
     for bag, label in zip(bags, toxic):
         if not label:  # only runs that toxic texts share are counted
             seen[0].update({g for w in bag for g in runs(w) if g in seen[1]})
@@ -342,7 +347,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
         values, vectors = np.linalg.eigh((dense.T @ dense).astype(np.float64))
         good = values > 1e-5 * values.max()
         root = vectors[:, good] / np.sqrt(values[good])
-        x = (_features(words, dense, place) @ root).astype(np.float32)
+        x = _features(words, dense, place) @ root.astype(np.float32)
         beta, bias = _svm(x, label, weight)
         table = (dense @ (root @ beta))[place]
         if turn == 3:
