@@ -271,9 +271,16 @@ s AS (SELECT doc_id, CASE WHEN a0 THEN 'A' ELSE '' END || CASE WHEN b0 THEN 'B'
 r AS (SELECT doc_id, sig, CASE sig WHEN 'BC' THEN 'B' WHEN 'ABC' THEN 'AB' ELSE sig END AS final FROM s)"""
 
 
-def _labelled(spark, sf):
+#: Every line of a text: the third of each three is contra, the others are main.
+_WHOLE_LABEL_SQL = _LABEL_SQL.replace("a[1:2] AS m, a[3:3] AS x, array_to_string(a[1:2], ' ') AS j", "[s FOR s, i IN a IF i % 3 <> 0] AS m, [s FOR s, i IN a IF i % 3 = 0] AS x, array_to_string([s FOR s, i IN a IF i % 3 <> 0], ' ') AS j")
+
+
+def _labelled(spark, sf, whole=False):
     lines = F.split("text", "\n")
-    docs = _t(spark, sf, "documents").select("doc_id", F.slice(lines, 1, 2).alias("texts_main"), F.slice(lines, 3, 1).alias("texts_contra"), F.lit(None).cast("string").alias("code"))
+    main, contra = F.slice(lines, 1, 2), F.slice(lines, 3, 1)
+    if whole:
+        main, contra = F.filter(lines, lambda _, i: i % 3 != 2), F.filter(lines, lambda _, i: i % 3 == 2)
+    docs = _t(spark, sf, "documents").select("doc_id", main.alias("texts_main"), contra.alias("texts_contra"), F.lit(None).cast("string").alias("code"))
     return labels.classify(docs, rules=_RULES)
 
 
@@ -282,32 +289,59 @@ def label_rules(spark, sf):
     return _labelled(spark, sf).select("doc_id", "label_a", "label_b", "label_c")
 
 
+@_query("WITH " + _WHOLE_LABEL_SQL + " SELECT doc_id, contains(final, 'A') AS label_a, contains(final, 'B') AS label_b, contains(final, 'C') AS label_c FROM r")
+def label_rules_whole(spark, sf):
+    return _labelled(spark, sf, True).select("doc_id", "label_a", "label_b", "label_c")
+
+
 @_query("WITH " + _LABEL_SQL + " SELECT sig, final, count(*) AS n FROM r GROUP BY sig, final")
-def tie_break(spark, sf):
+def tie_break(spark, sf, whole=False):
     sig = F.concat(*[F.when(F.size(f"reasons_{x}") > 0, x.upper()).otherwise("") for x in "abc"])
-    return _labelled(spark, sf).select(sig.alias("sig"), labels.break_tie(sig, _RULES).alias("final")).groupBy("sig", "final").agg(F.count("*").alias("n"))
+    return _labelled(spark, sf, whole).select(sig.alias("sig"), labels.break_tie(sig, _RULES).alias("final")).groupBy("sig", "final").agg(F.count("*").alias("n"))
 
 
-_PAIR_SQL = "WITH " + _LABEL_SQL + """, q AS (SELECT contains(final, 'A') AS pa, quality = 1 AS ta, contains(final, 'C') AS pc, toxic = 1 AS tc FROM r JOIN labels USING (doc_id)),
+@_query("WITH " + _WHOLE_LABEL_SQL + " SELECT sig, final, count(*) AS n FROM r GROUP BY sig, final")
+def tie_break_whole(spark, sf):
+    return tie_break(spark, sf, True)
+
+
+_PAIR_TAIL = """, q AS (SELECT contains(final, 'A') AS pa, quality = 1 AS ta, contains(final, 'C') AS pc, toxic = 1 AS tc FROM r JOIN labels USING (doc_id)),
 u AS (SELECT 'a' AS label, pa AS p, ta AS t FROM q UNION ALL SELECT 'c', pc, tc FROM q), """
+_PAIR_SQL, _WHOLE_PAIR_SQL = "WITH " + _LABEL_SQL + _PAIR_TAIL, "WITH " + _WHOLE_LABEL_SQL + _PAIR_TAIL
 
 
-def _pairs(spark, sf):
+def _pairs(spark, sf, whole=False):
     truth = _t(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("true_a"), (F.col("toxic") == 1).alias("true_c"))
-    return _labelled(spark, sf).select("doc_id", F.col("label_a").alias("pred_a"), F.col("label_c").alias("pred_c")).join(truth, "doc_id")
+    return _labelled(spark, sf, whole).select("doc_id", F.col("label_a").alias("pred_a"), F.col("label_c").alias("pred_c")).join(truth, "doc_id")
 
 
-@_query(_PAIR_SQL + """c AS (SELECT label, count(*) FILTER (p AND t) AS tp, count(*) FILTER (p AND NOT t) AS fp, count(*) FILTER (NOT p AND t) AS fn, count(*) FILTER (NOT p AND NOT t) AS tn FROM u GROUP BY label)
+_METRICS_SQL = """c AS (SELECT label, count(*) FILTER (p AND t) AS tp, count(*) FILTER (p AND NOT t) AS fp, count(*) FILTER (NOT p AND t) AS fn, count(*) FILTER (NOT p AND NOT t) AS tn FROM u GROUP BY label)
 SELECT label, tp, fp, fn, tn, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
-round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0), 6) AS accuracy FROM c""")
-def confusion_metrics(spark, sf):
-    m = evaluate.confusion(_pairs(spark, sf), ["a", "c"])
+round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0), 6) AS accuracy FROM c"""
+
+
+@_query(_PAIR_SQL + _METRICS_SQL)
+def confusion_metrics(spark, sf, whole=False):
+    m = evaluate.confusion(_pairs(spark, sf, whole), ["a", "c"])
     return m.select("label", "tp", "fp", "fn", "tn", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f1", "accuracy")])
 
 
-@_query(_PAIR_SQL + "c AS (SELECT count(*) AS total, count(*) FILTER (pa = ta AND pc = tc) AS exact FROM q) SELECT total, exact, round(exact / total, 6) AS rate FROM c")
-def exact_match(spark, sf):
-    return evaluate.exact_match(_pairs(spark, sf), ["a", "c"]).withColumn("rate", F.round("rate", 6))
+@_query(_WHOLE_PAIR_SQL + _METRICS_SQL)
+def confusion_metrics_whole(spark, sf):
+    return confusion_metrics(spark, sf, True)
+
+
+_EXACT_SQL = "c AS (SELECT count(*) AS total, count(*) FILTER (pa = ta AND pc = tc) AS exact FROM q) SELECT total, exact, round(exact / total, 6) AS rate FROM c"
+
+
+@_query(_PAIR_SQL + _EXACT_SQL)
+def exact_match(spark, sf, whole=False):
+    return evaluate.exact_match(_pairs(spark, sf, whole), ["a", "c"]).withColumn("rate", F.round("rate", 6))
+
+
+@_query(_WHOLE_PAIR_SQL + _EXACT_SQL)
+def exact_match_whole(spark, sf):
+    return exact_match(spark, sf, True)
 
 
 @_query("WITH " + _LABEL_SQL + """, l AS (SELECT doc_id, quality::VARCHAR AS truth FROM labels)
