@@ -124,6 +124,13 @@ def sup_sub(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", tx.superscript(head).alias("sup"), tx.subscript(head).alias("sub"))
 
 
+@_query("""SELECT doc_id, md5(translate(text, '0123456789abcdefghijklmnoprstuvwxyzABDEGHIJKLMNOPRTUVW+-=()', '⁰¹²³⁴⁵⁶⁷⁸⁹ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻᴬᴮᴰᴱᴳᴴᴵᴶᴷᴸᴹᴺᴼᴾᴿᵀᵁⱽᵂ⁺⁻⁼⁽⁾')) AS sup,
+md5(translate(text, '0123456789aehijklmnoprstuvx+-=()', '₀₁₂₃₄₅₆₇₈₉ₐₑₕᵢⱼₖₗₘₙₒₚᵣₛₜᵤᵥₓ₊₋₌₍₎')) AS sub FROM documents""")
+def sup_sub_whole(spark, sf):
+    text = F.col("text")
+    return _t(spark, sf, "documents").select("doc_id", F.md5(tx.superscript(text).cast("binary")).alias("sup"), F.md5(tx.subscript(text).cast("binary")).alias("sub"))
+
+
 @_query("""SELECT doc_id, md5(regexp_replace('<p>' || text || '<img alt="x" src="../images/i' || doc_id || '.png"></p>', '<img([^>]*?)src="\\.\\./images/([^"]+)"([^>]*?)(?:\\s*/)?>', '<img\\1src="https://cdn.example.org/images/\\2"\\3 />', 'gi')) AS h FROM documents""")
 def rewrite_img(spark, sf):
     html = F.concat(F.lit("<p>"), "text", F.lit('<img alt="x" src="../images/i'), F.col("doc_id").cast("string"), F.lit('.png"></p>'))

@@ -15,3 +15,11 @@ def test_lines_beyond_the_third_are_labelled(spark, tmp_path):
     got = {r.doc_id: (r.label_a, r.label_b, r.label_c) for r in catalogue.label_rules_whole(spark, sf).collect()}
     assert got == {1: (True, False, False), 2: (False, True, False), 3: (True, False, True)}
     assert {r.doc_id: r.label_a for r in catalogue.label_rules(spark, sf).collect()}[1] is False
+
+
+def test_superscripts_and_subscripts_cover_the_whole_text(spark, tmp_path):
+    from hashlib import md5
+
+    sf = write(spark, tmp_path, "documents", [(1, "Q" * 45 + "2")], "doc_id long, text string")
+    row = catalogue.sup_sub_whole(spark, sf).first()
+    assert (row.sup, row.sub) == tuple(md5(("Q" * 45 + x).encode()).hexdigest() for x in "²₂")
