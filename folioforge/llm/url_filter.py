@@ -29,8 +29,6 @@ from folioforge.llm.common import stable
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 TREES, DEPTH, RATE, LAMBDA = 8, 2, 0.5, 1.0
-#: Labelled rows that training takes at most, by hash of the url; predictions cover every row.
-TRAIN_ROWS = 500_000
 _ONE = 1 << 20
 
 
@@ -178,8 +176,6 @@ def judge(pages: DataFrame, keep: tuple[str, ...] = ("page_id",), rules: tuple =
     base = with_rule(pages.select(*keep, F.col("url").cast("string").alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}), rules)
     base = stable(lexical(base).drop("url"))
     labelled = base.filter("rule_verdict is not null").withColumn("y", (F.col("rule_verdict") == "block").cast("int"))
-    labelled = labelled.orderBy(F.xxhash64("host", "path")).limit(TRAIN_ROWS) if labelled.count() > TRAIN_ROWS else labelled
-    labelled = stable(labelled)
     margin = train(_with_statistics(labelled, labelled))
     all_ = _with_statistics(base, labelled).withColumn("score", 1 / (1 + F.exp(-margin)))
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow"))

@@ -232,3 +232,16 @@ def test_empty_tables(make):
     assert lz_fingerprint.edit_report(empty).count() == 0
     assert simhash.near_duplicate_report(empty).count() == 0
     assert token_counts.suffix_sums(token_counts.length_histogram(empty)).count() == 0
+
+
+# --------------------------------------------------------------- url filter
+
+
+def test_url_statistics_come_from_every_labelled_row(spark, monkeypatch):
+    from folioforge.llm import url_filter
+
+    urls = [f"https://a{i}.net/x" for i in range(30)] + [f"https://b{i}.org/fr/x" for i in range(30)] + [f"https://www.a{i}.net/y" for i in range(5)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    whole = sorted(tuple(r) for r in url_filter.judge(pages).collect())
+    monkeypatch.setattr(url_filter, "TRAIN_ROWS", 2, raising=False)
+    assert sorted(tuple(r) for r in url_filter.judge(pages).collect()) == whole
