@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +26,46 @@ def nearest(vectors: DataFrame, query: list[float], k: int = 5, key: str = "vec_
     return vectors.select(key, F.round(cosine(F.col(column), q), 6).alias("score")).orderBy(F.col("score").desc(), key).limit(k)
 
 
+def _packed(vectors: DataFrame, key: str, column: str, rows: int) -> DataFrame:
+    """keys and m: blocks of at most `rows` keys and vectors as bytes; vectors that are null go."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, rows):
+                some = part.slice(at, rows)
+                m = np.array(some.column(1).to_pylist(), np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([some.column(0).to_numpy().tobytes()]), pa.array([m.tobytes()])], names=["keys", "m"])
+
+    some = vectors.select(F.col(key).cast("long").alias("k"), F.col(column).cast("array<double>").alias("v")).filter("k is not null and v is not null")
+    return some.mapInArrow(run, "keys binary, m binary")
+
+
+def nearest_all(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", column: str = "embedding", block: int = 256) -> DataFrame:
+    """query_id, key, score and rank: the k most similar rows of each row of queries, exactly; keys are whole numbers.
+
+    Blocks of queries meet blocks of rows; k rows a query leave each pair of blocks and are
+    ranked by rounded score, then key. A vector of zeros has no score.
+    """
+    rows = _packed(vectors, key, column, 16 * block)
+    asked = _packed(queries, key, column, block).select(F.col("keys").alias("q_keys"), F.col("m").alias("q"))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for i in range(part.num_rows):
+                keys, m, ids, q = (np.frombuffer(c[i].as_py(), t) for c, t in zip(part.columns, (np.int64, np.float64, np.int64, np.float64)))
+                m, q = m.reshape(len(keys), -1), q.reshape(len(ids), -1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    scores = np.round(q @ m.T / np.sqrt((q * q).sum(1)[:, None] * (m * m).sum(1)), 6)
+                best = np.array([np.lexsort((keys, -s))[:k] for s in scores])  # no score: last
+                found = np.take_along_axis(scores, best, 1).ravel()
+                real = ~np.isnan(found)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])[real]), pa.array(keys[best].ravel()[real]), pa.array(found[real])], names=["query_id", key, "score"])
+
+    found = rows.crossJoin(asked).mapInArrow(run, f"query_id long, `{key}` long, score double")
+    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), key)))
+    return ranked.filter(F.col("rank") <= k)
+
+
 def terms(df: DataFrame, outer: str, inner: str, size: int, key: str, hits: int = 5) -> DataFrame:
     """Counts by outer and inner term, the `size` most frequent inner ones of each outer one, and their first keys.
 

@@ -395,6 +395,13 @@ def knn_top5(spark, sf):
     return search.nearest(v, v.filter("vec_id = 0").first()["embedding"])
 
 
+@_query("""WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) SELECT query_id, vec_id, score, rank FROM r WHERE rank <= 5""")
+def knn_top5_whole(spark, sf):
+    v = _t(spark, sf, "embeddings")
+    return search.nearest_all(v, v.filter("vec_id % 100 = 0"))
+
+
 @_query("""WITH n AS (SELECT doc_id % 100 AS key, doc_id::VARCHAR AS id, md5(text) AS h FROM documents), o AS (SELECT key, id, CASE WHEN key % 10 = 3 THEN 'x' ELSE h END AS g FROM n WHERE NOT (key % 10 = 7 AND id::BIGINT < 200)),
 b AS (SELECT coalesce(n.key, o.key) AS key, h, g FROM n FULL JOIN o ON n.key = o.key AND n.id = o.id) SELECT key, bool_and(coalesce(h = g, false)) AND count(h) > 0 AS valid FROM b GROUP BY key""")
 def cache_validity(spark, sf):

@@ -23,3 +23,21 @@ def test_superscripts_and_subscripts_cover_the_whole_text(spark, tmp_path):
     sf = write(spark, tmp_path, "documents", [(1, "Q" * 45 + "2")], "doc_id long, text string")
     row = catalogue.sup_sub_whole(spark, sf).first()
     assert (row.sup, row.sub) == tuple(md5(("Q" * 45 + x).encode()).hexdigest() for x in "²₂")
+
+
+def test_every_hundredth_vector_is_a_query_across_blocks(spark):
+    import numpy as np
+
+    from folioforge.operators import search
+
+    m = np.random.default_rng(4).normal(size=(901, 8))
+    m[7] = m[300]  # a tie
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)] + [(901, [0.0] * 8), (902, None)], "vec_id long, embedding array<float>").repartition(3)
+    got = search.nearest_all(v, v.filter("vec_id % 100 = 0"), block=4).collect()
+    m = m.astype(np.float32).astype(float)
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    expected = {}
+    for q in range(0, 901, 100):
+        s = np.round(unit @ unit[q], 6)
+        expected |= {(q, r): int(i) for r, i in enumerate(np.lexsort((np.arange(901), -s))[:5], 1)}
+    assert {(r.query_id, r["rank"]): r.vec_id for r in got} == expected and len(got) == 50
