@@ -361,18 +361,33 @@ def prediction_report(spark, sf):
     return rows.unionByName(evaluate.missing(truth, found, "doc_id").withColumn("state", F.lit("missing")), allowMissingColumns=True)
 
 
+@_query("WITH " + _WHOLE_LABEL_SQL + """, l AS (SELECT doc_id, quality::VARCHAR AS truth FROM labels)
+SELECT r.doc_id, contains(final, 'A')::INTEGER AS label_a, coalesce(truth, '') AS truth, 'found' AS state FROM r LEFT JOIN l USING (doc_id)
+UNION ALL SELECT doc_id, NULL, truth, 'missing' FROM l WHERE doc_id NOT IN (SELECT doc_id FROM documents)""")
+def prediction_report_whole(spark, sf):
+    truth = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("truth"))
+    found = _labelled(spark, sf, True).select("doc_id", F.col("label_a").cast("int").alias("label_a"))
+    rows = found.join(truth, "doc_id", "left").select("doc_id", "label_a", F.coalesce("truth", F.lit("")).alias("truth"), F.lit("found").alias("state"))
+    return rows.unionByName(evaluate.missing(truth, found, "doc_id").withColumn("state", F.lit("missing")), allowMissingColumns=True)
+
+
 # ----------------------------------------------------- lookups, search, loads, counts
 
 
 @_query("""SELECT o_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey), '') AS names FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey AND p_partkey % 2 = 0 GROUP BY o_orderkey""")
-def enrich_docs(spark, sf):
+def enrich_docs(spark, sf, whole=False):
     lines = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
     groups = _t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(lines.alias("ids"))
     docs = _t(spark, sf, "orders").select("o_orderkey").join(groups, "o_orderkey", "left")
-    parts = _t(spark, sf, "part").filter("p_partkey % 2 = 0").select("p_partkey", "p_name")
+    parts = _t(spark, sf, "part").filter("true" if whole else "p_partkey % 2 = 0").select("p_partkey", "p_name")
     return load.lookup_all(docs, "o_orderkey", "ids", parts, "p_partkey", "p_name", "names").select("o_orderkey", F.array_join("names", "|").alias("names"))
 
 
+@_query("""SELECT o_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey), '') AS names FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY o_orderkey""")
+def enrich_docs_whole(spark, sf):
+    return enrich_docs(spark, sf, True)
+
+
 @_query("""WITH u AS (SELECT n_nationkey AS code, n_name AS label FROM nation UNION ALL SELECT r_regionkey, r_name FROM region UNION ALL SELECT s_nationkey, s_name FROM supplier)
 SELECT code, string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM u WHERE code IS NOT NULL AND label IS NOT NULL GROUP BY code""")
 def label_sets_union(spark, sf):

@@ -41,3 +41,14 @@ def test_every_hundredth_vector_is_a_query_across_blocks(spark):
         s = np.round(unit @ unit[q], 6)
         expected |= {(q, r): int(i) for r, i in enumerate(np.lexsort((np.arange(901), -s))[:5], 1)}
     assert {(r.query_id, r["rank"]): r.vec_id for r in got} == expected and len(got) == 50
+
+
+def test_report_and_lookup_take_every_row(spark, tmp_path):
+    sf = write(spark, tmp_path, "documents", [(3, "pour"), (4, "x")], "doc_id long, text string")
+    write(spark, tmp_path, "labels", [(4, 0), (9, 1)], "doc_id long, quality int")
+    write(spark, tmp_path, "orders", [(1,), (2,)], "o_orderkey long")
+    write(spark, tmp_path, "lineitem", [(1, 7, 1), (1, 8, 2), (1, 5, 3)], "l_orderkey long, l_partkey long, l_linenumber int")
+    write(spark, tmp_path, "part", [(7, "odd"), (8, "even")], "p_partkey long, p_name string")
+    got = {(r.doc_id, r.label_a, r.truth, r.state) for r in catalogue.prediction_report_whole(spark, sf).collect()}
+    assert got == {(3, 1, "", "found"), (4, 0, "0", "found"), (9, None, "1", "missing")}
+    assert {r.o_orderkey: r.names for r in catalogue.enrich_docs_whole(spark, sf).collect()} == {1: "odd|even", 2: ""}
