@@ -6,8 +6,9 @@ the same way, after equal words at both ends are matched. Coverage is the share
 template's words that the alignment matches.
 
 A template is found where a stretch of the text holds enough of its words, so the
-alignment runs on stretches of about its length, wherever in the whole text they lie; a
-text that lacks the words can't reach the coverage and is not aligned.
+alignment runs on stretches of about its length, wherever in the whole text they lie. If
+no stretch reaches the coverage, as where other words lie between a template's parts, the
+whole text is aligned; a text that lacks the words can't reach it and is not aligned.
 
 Defined cases: null and empty texts have no license; repeated rows are scanned row by row;
 of equal coverages the longer template, then the first by name wins; an empty table gives
@@ -148,16 +149,20 @@ class Scanner:
             name, w, count, known = template
             if sum(count[x] for x in known & own) < self.coverage * len(w):
                 continue
-            for start, end in self._stretches(doc, template):
-                for a, b in self._cut(start, end, len(w)):
-                    pairs = align(doc[a:b], w)
-                    share = len(pairs) / len(w)
-                    if share >= self.coverage:
-                        got = (share, len(w), name, a + pairs[0][0], a + pairs[-1][0] + 1, len(pairs))
-                        if found is None or (got[0], got[1]) > (found[0], found[1]):
-                            found = got
+            passed = [x for start, end in self._stretches(doc, template) for a, b in self._cut(start, end, len(w)) if (x := self._match(doc, a, b, name, w))]
+            if not passed and (x := self._match(doc, 0, len(doc), name, w)):
+                passed = [x]
+            for got in passed:
+                if found is None or (got[0], got[1]) > (found[0], found[1]):
+                    found = got
         return found
 
+    def _match(self, doc: list[bytes], a: int, b: int, name: str, w: list[bytes]) -> tuple | None:
+        """What best() returns, of one piece and one template, if it reaches the coverage."""
+        pairs = align(doc[a:b], w)
+        share = len(pairs) / len(w)
+        return (share, len(w), name, a + pairs[0][0], a + pairs[-1][0] + 1, len(pairs)) if share >= self.coverage else None
+
     def _cut(self, start: int, end: int, n: int) -> Iterator[tuple[int, int]]:
         """Pieces of a long stretch that overlap so that any occurrence lies within one."""
         size = 2 * (n + int(self.slack * n) + 2)

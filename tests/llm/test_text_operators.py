@@ -40,6 +40,13 @@ def test_license_scan_planted(make):
     assert all(rows[10 + i].license is None for i in range(len(ODD)))
 
 
+def test_license_with_foreign_words_between_its_parts(make):
+    w = license_scan.TEMPLATES["ISC"].split()
+    text = " ".join([*w[:12], *(f"inserted{i}" for i in range(200)), *w[12:]])
+    row = license_scan.scan(make([(1, text)])).first()
+    assert (row.license, row.coverage, row.start_word, row.end_word) == ("ISC", 1.0, 0, row.n_words)
+
+
 # -------------------------------------------------------------- fingerprints
 
 
