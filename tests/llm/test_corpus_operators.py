@@ -305,7 +305,8 @@ def test_toxicity_odd_input(spark, make):
 
 
 def test_pipeline_stages(spark, tmp_path):
-    from folioforge.llm import decontam, simhash
+    from folioforge.llm import simhash
+    from tests.llm.test_text_operators import brute_contamination
 
     docs = docs_of(spark)
     names = docs.columns
@@ -327,8 +328,8 @@ def test_pipeline_stages(spark, tmp_path):
             cut = {r[0]: r[2] for r in brute_repeats([(r.doc_id, r.text) for r in before])}
             assert all((len(r.text.encode()) >= len(old[r.doc_id].text.encode()) - cut[r.doc_id] - 6) and (cut[r.doc_id] > 0 or r.text == old[r.doc_id].text) for r in after)
         if name == "benchmark_decontamination":
-            bad = {r.doc_id for r in decontam.contamination_report(left, spark.read.parquet(f"{DATA}/benchmark.parquet")).collect() if r.contaminated}
-            assert {r.doc_id for r in after} == set(old) - bad
+            bad = {r[0] for r in brute_contamination([(r.doc_id, r.text) for r in before], [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]) if r[2]}
+            assert bad and {r.doc_id for r in after} == set(old) - bad
         if name == "mix_sources":
             taken = {r.doc_id: r.taken // r.size for r in mixing.mix_report(left).collect() if r.size}
             count = {}

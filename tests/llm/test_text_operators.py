@@ -141,8 +141,18 @@ def test_decontamination_odd_items_in_blocks(spark, make):
     assert len(nothing) == len(ODD) and not any(r.contaminated for r in nothing)
     kept = decontam.drop_contaminated(make(ODD), bench)
     assert kept.columns == make(ODD).columns
-    bad = sum(r[5] for r in brute_contamination(ODD, items))
-    assert kept.count() == len(ODD) - bad
+    assert kept.count() == sum(not r[2] for r in brute_contamination(ODD, items))
+    assert decontam.drop_contaminated(make(ODD), bench, block_bytes=10).count() == kept.count()
+
+
+def test_a_short_passage_in_a_long_text_is_contamination_enough(spark, make):
+    """A passage that makes up three words in a hundred: the report calls it less than a twentieth, the stage drops it."""
+    passage = " ".join(f"bench{i}" for i in range(15))
+    rows = [(i, f"clean{i} " * 240 + passage * (i % 2) + f" clean{i}" * 240) for i in range(20)]
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    report = {r.doc_id: (r.n_hit, r.contaminated) for r in decontam.contamination_report(make(rows), bench).collect()}
+    assert report == {i: (15 * (i % 2), False) for i in range(20)}
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(make(rows), bench).collect()) == list(range(0, 20, 2))
 
 
 # ------------------------------------------------------------------- SimHash
