@@ -5,30 +5,39 @@ share all words of the corpus; no target passes `cap` times its source's words,
 is above is shared again by weight among the others (water filling).
 
 Blocks. A hash spreads each source's documents over blocks of some 64 documents, whose
-numbers are a random permutation of the source. A source with target r times its words
-takes floor(r) whole passes, and in a last pass its first blocks, as many as fit. The
-block at the limit is filled by those of its documents whose sizes add up nearest to what
-is left.
-
-Shards. The taken blocks are split over the output shards by a tree: a node deals its
-quotas per source to its two halves by a multivariate hypergeometric draw, so that every
-shard gets a composition as if all blocks had been shuffled, and whole numbers add up
-exactly. A shard then draws its quota as a run of the source's permuted (pass, block)
-pairs, disjoint from all others, and shuffles its documents locally.
-
-Scale. Documents carry only (source, block, size) through the shuffle; per source there
-are at most `blocks` block sums. The plan on the driver has one row per source and block
-(checked against `max_plan`); its return to the documents is an ordinary join.
+numbers are a random permutation of the source. A source with target r times its words has
+a quota of block draws: all of its blocks floor(r) times, and once more its first blocks, as
+many as fit; the last of these is filled by those of its documents whose sizes add up
+nearest to what is left.
+
+Shards. A tree partitions the quotas among the output shards: a node deals its quotas per
+source to its two halves by a multivariate hypergeometric draw, so that every shard gets a
+composition as if all blocks had been shuffled, and whole numbers add up exactly. The leaf of
+a shard draws its quota as a run of the source's permuted (pass, block) pairs, disjoint from
+those of all others. What a document gives to the mix is what the shards drew of its block.
+`mix` sends the rows to their shards and shuffles each shard locally.
+
+Scale. Documents carry only (source, block, size) through the shuffles of the plan. The
+driver holds one row per source and its quotas by shard; blocks and draws stay in Spark,
+where the blocks of one source, at most `blocks`, are one group. Sources and draws are
+broadcast within SMALL_PLAN rows and joined by shuffle beyond. A shard takes about
+SHARD_WORDS words, so their number grows with the mix.
 
 Defined cases: a null text has size 0; null sources are one source; a source without words
 has target 0 and takes nothing; an empty table gives an empty mix; repeated rows are mixed
 row by row; reruns agree, however rows are partitioned; other columns are not read by
-`plan` and are carried by `mix`.
+`plan` and are carried by `mix`, but for those with the names of its own (MIX_COLUMNS),
+which it replaces.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
+from typing import NamedTuple
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,9 +45,12 @@ from pyspark.sql import functions as F
 from folioforge.llm.common import stable
 
 WEIGHTS = (5, 2, 1)
-CAP, SEED, BLOCKS, BLOCK_DOCS, SHARDS, MAX_PLAN = 3, 17, 1 << 16, 64, 16, 4_000_000
-#: Rows of a plan that is broadcast.
-SMALL_PLAN = 200_000
+CAP, SEED, BLOCKS, BLOCK_DOCS = 3, 17, 1 << 14, 64
+#: Least number of output shards, and words of a shard beyond it.
+SHARDS, SHARD_WORDS = 16, 1 << 23
+#: Rows of a plan that is broadcast (some 50 bytes each).
+SMALL_PLAN = 500_000
+MIX_COLUMNS = ("mix_copy", "mix_shard", "mix_rank")
 
 
 def word_count(text: Column) -> Column:
@@ -83,76 +95,86 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
 
 def _keyed(docs: DataFrame, seed: int) -> DataFrame:
     source = F.col("source").cast("string")
-    mixed = F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.octet_length("text"))
     return docs.withColumns({
         "_size": word_count(F.col("text")),
         "_none": source.isNull(),
         "_source": F.coalesce(source, F.lit("")),
-        "_hash": mixed,
+        "_hash": F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), "text"),
     })
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blocks: int = BLOCKS, block_docs: int = BLOCK_DOCS, shards: int = SHARDS, seed: int = SEED, max_plan: int = MAX_PLAN) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, draws, sources).
+def _draw(seed: int):
+    """A leaf's draws: each shard takes the next run of its source's permuted (pass, block) pairs."""
 
-    documents: doc_id, size, hash and its source's none, source, block, source_size, target,
-    passes (whole ones) and fits (taken once more), limit (the block that is filled in part);
-    draws: none, source, block, pass, shard, partly; sources: none, source, blocks
-    (a block has about block_docs documents, unless a source would get more than `blocks`).
-    """
+    def run(blocks: pd.DataFrame, leaves: pd.DataFrame) -> pd.DataFrame:
+        blocks = blocks.sort_values("block")
+        passes = int(blocks["passes"].iloc[0]) if len(blocks) else 0
+        turns = [blocks.assign(copy=p, partly=False) for p in range(passes)] + [blocks[blocks["again"]].assign(copy=passes)]
+        pairs = pd.concat(turns)[["none", "source", "block", "copy", "partly", "left"]]
+        own = [seed, zlib.crc32(str(blocks["source"].iloc[0]).encode()), int(blocks["none"].iloc[0])] if len(blocks) else seed
+        pairs = pairs.iloc[np.random.default_rng(own).permutation(len(pairs))]
+        leaves = leaves.sort_values("shard")
+        return pairs.assign(shard=np.repeat(leaves["shard"].to_numpy(), leaves["quota"].to_numpy()))
+
+    return run
+
+
+class Plan(NamedTuple):
+    """documents: doc_id, size, hash, none, source, block, source_size, target and draws (copy, shard
+    of each draw that has the document); sources: none, source, blocks, source_size, target, passes,
+    rest; draws: none, source, block, copy, partly, left, shard; fits: the documents that partly drawn
+    blocks give; n_draws."""
+
+    documents: DataFrame
+    sources: DataFrame
+    draws: DataFrame
+    fits: DataFrame
+    n_draws: int
+    small: Callable[[DataFrame, int], DataFrame]
+
+
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blocks: int = BLOCKS, block_docs: int = BLOCK_DOCS, shards: int | None = None, seed: int = SEED) -> Plan:
+    """A block has about block_docs documents, unless a source would get more than `blocks`."""
     spark = docs.sparkSession
+
+    def small(df: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(df) if n <= SMALL_PLAN else df
+
     keyed = _keyed(docs.select("doc_id", "text", "source"), seed)
     own = stable(keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_size").alias("size"), F.col("_hash").alias("hash"), F.col("_none").alias("none"), F.col("_source").alias("source")))
-    counts = own.groupBy("none", "source").agg(F.count("*").alias("n"))
-    of = counts.select("none", "source", F.greatest(F.lit(1), F.least(F.lit(blocks), F.floor(F.col("n") / block_docs))).alias("blocks"))
-    of = stable(of)
-    own = own.join(of, ["none", "source"]).withColumn("block", F.pmod("hash", F.col("blocks")).cast("int"))
-    sums = own.groupBy("none", "source", "block").agg(F.sum("size").alias("size"))
-    n = sums.groupBy("none", "source").count().agg(F.sum("count")).first()[0] or 0
-    if n > max_plan:
-        raise ValueError(f"{n} blocks of sources are more than max_plan; use fewer blocks per source")
-    by_source: dict[tuple, dict[int, int]] = {}
-    for r in sums.toLocalIterator():
-        by_source.setdefault((r["none"], r["source"]), {})[r["block"]] = r["size"]
-    order = sorted(by_source)  # by code point; null (none is true) last
-    sizes = [sum(by_source[s].values()) for s in order]
+    found = own.groupBy("none", "source").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()  # a row per source
+    found.sort(key=lambda r: (r["none"], r["source"]))  # by code point; null last
+    sizes = [r["size"] for r in found]
     goal = targets(sizes, weights, cap)
-    of_source, taken = [], []
-    for key, size, target in zip(order, sizes, goal):
-        passes = int(target // size) if size else 0
-        left, limit = round(target) - passes * size, -1
-        mine = sorted(by_source[key].items())
-        draws = [(p, b) for p in range(passes) for b, _ in mine]
-        for b, words in mine:
-            if left <= 0:
-                break
-            draws.append((passes, b))
-            if words > left:
-                limit = b
-                break
-            left -= words
-        last = draws[-1][1] if draws and draws[-1][0] == passes else -1
-        of_source.append((*key, size, target, passes, limit if limit >= 0 else last + 1, limit, max(left, 0)))
-        taken.append(draws)
-    rng = np.random.default_rng(seed)
-    quotas = split_quotas(np.array([len(d) for d in taken], np.int64), shards, rng) if order else np.zeros((shards, 0), np.int64)
-    rows = []
-    for i, (key, draws) in enumerate(zip(order, taken)):
-        shard = np.repeat(np.arange(shards), quotas[:, i])
-        for at, s in zip(rng.permutation(len(draws)).tolist(), shard.tolist()):
-            p, b = draws[at]
-            rows.append((*key, b, p, s, p == of_source[i][4] and b == of_source[i][6]))
-    sources = spark.createDataFrame(of_source, "none boolean, source string, source_size long, target double, passes int, below int, limit int, left long")
-    draws = spark.createDataFrame(rows, "none boolean, source string, block int, pass int, shard int, partly boolean")
-
-    with_source = own.join(sources, ["none", "source"])
-    inside = with_source.filter("`block` != `limit`").withColumn("fits", F.col("block") < F.col("below"))
-    # the block at the limit: greedy by permuted order, each that still fits
-    edge = with_source.filter("`block` = `limit`")
-    return inside.select(*_OWN).unionByName(_fill(edge).select(*_OWN)), draws, of
-
-
-_OWN = ["doc_id", "size", "hash", "none", "source", "block", "limit", "source_size", "target", "passes", "fits"]
+    passes = [int(t // s) if s else 0 for s, t in zip(sizes, goal)]
+    rows = [(r["none"], r["source"], max(1, min(blocks, r["n"] // block_docs)), s, t, p, round(t) - p * s) for r, s, t, p in zip(found, sizes, goal, passes)]
+    sources = spark.createDataFrame(rows, "none boolean, source string, blocks int, source_size long, target double, passes int, rest long")
+    key = ["none", "source"]
+    own = own.join(small(sources, len(rows)), key).withColumn("block", F.pmod("hash", F.col("blocks")).cast("int"))
+    sums = own.groupBy(*key, "block", "passes", "rest").agg(F.sum("size").alias("words"))
+    before = F.sum("words").over(W.partitionBy(*key).orderBy("block")) - F.col("words")
+    again = (F.col("before") < F.col("rest")).alias("again")
+    partly = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
+    sums = stable(sums.withColumn("before", before).select(*key, "block", "passes", again, partly.alias("partly"), F.when(partly, F.col("rest") - F.col("before")).alias("left")))
+    counted = sums.groupBy(*key).agg(F.sum(F.col("passes") + F.col("again").cast("int")).alias("q")).collect()  # a row per source
+    quota = {(r["none"], r["source"]): r["q"] for r in counted}
+    quotas = np.array([quota[r["none"], r["source"]] for r in found], np.int64)
+    shards = shards or max(SHARDS, int(sum(goal)) // SHARD_WORDS)
+    dealt = split_quotas(quotas, shards, np.random.default_rng(seed)) if len(quotas) else np.zeros((shards, 0), np.int64)
+    leaves = [(found[i]["none"], found[i]["source"], s, int(dealt[s, i])) for i, s in zip(*(x.tolist() for x in np.nonzero(dealt.T)))]
+    leaves = spark.createDataFrame(leaves, "none boolean, source string, shard int, quota long")
+    wanted = sums.filter("passes > 0 or again")
+    draws = stable(wanted.groupBy(*key).cogroup(leaves.groupBy(*key)).applyInPandas(_draw(seed), "none boolean, source string, block int, copy int, partly boolean, left long, shard int"))
+    n_draws = int(quotas.sum())
+
+    each = draws.groupBy(*key, "block").agg(F.array_sort(F.collect_list(F.when(~F.col("partly"), F.struct("copy", "shard")))).alias("draws"), F.max(F.when(F.col("partly"), F.struct("left", "copy", "shard"))).alias("edge"))
+    of_block = own.join(small(each, n_draws), [*key, "block"], "left")
+    kept = ["doc_id", "size", "hash", *key, "block", "source_size", "target"]
+    none = F.array().cast("array<struct<copy:int,shard:int>>")
+    whole = of_block.filter("edge is null").select(*kept, F.coalesce("draws", none).alias("draws"))
+    fits = stable(_fill(of_block.filter("edge is not null").select(*kept, "draws", F.col("edge.left").alias("left"), F.struct("edge.copy", "edge.shard").alias("last"))))
+    filled = fits.select(*kept, F.when(F.col("fits"), F.concat("draws", F.array("last"))).otherwise(F.col("draws")).alias("draws"))
+    return Plan(whole.unionByName(filled), sources, draws, fits.filter("fits"), n_draws, small)
 
 
 def nearest_subset(sizes: list[int], goal: int, tail: int = BLOCK_DOCS) -> list[bool]:
@@ -180,44 +202,46 @@ def nearest_subset(sizes: list[int], goal: int, tail: int = BLOCK_DOCS) -> list[
 
 
 def _fill(edge: DataFrame) -> DataFrame:
-    """Fills a source's last block; one block per source."""
-    schema = edge.schema.simpleString()[7:-1] + ",fits:boolean"
+    """Adds fits: which documents of a source's last block fill what is left; one block per source."""
 
-    def fill(group):
+    def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["hash", "doc_id", "size"], kind="stable")
         return group.assign(fits=nearest_subset(group["size"].tolist(), int(group["left"].iloc[0])))
 
-    return edge.groupBy("none", "source").applyInPandas(fill, schema.replace(":", " "))
+    narrow = edge.select("doc_id", "size", "hash", "none", "source", "block", "left").groupBy("none", "source")
+    fits = narrow.applyInPandas(fill, "doc_id long, size long, hash long, none boolean, source string, block int, left long, fits boolean")
+    block = edge.groupBy("none", "source").agg(*[F.first(c).alias(c) for c in ("source_size", "target", "draws", "last")])
+    return fits.join(block, ["none", "source"])
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
-    """The digest per document that the query returns."""
-    own, *_ = plan(docs)
-    return own.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("passes") + F.col("fits").cast("int"))).alias("taken"))
+    """The digest per document that the query returns: taken is its size times the shards' draws of
+    it, and shards lists the shard of each draw."""
+    own = plan(docs).documents
+    return own.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), F.array_sort("draws.shard").alias("shards"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blocks: int = BLOCKS, block_docs: int = BLOCK_DOCS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The mixed corpus: all columns of docs, and mix_copy, mix_shard, mix_rank (order within the shard).
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blocks: int = BLOCKS, block_docs: int = BLOCK_DOCS, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """The mixed corpus: the columns of docs, and mix_copy, mix_shard, mix_rank (order within the shard).
 
-    A document comes once for each time that it is taken; one without words comes as often
-    as its block. Texts meet the plan by (source, block): the plan is broadcast while it is
-    within SMALL_PLAN rows and joined by shuffle beyond.
+    A document comes once for each draw that has it. The rows of a shard lie together, in the
+    order of its own shuffle.
     """
-    names = docs.columns
-    own, draws, of = plan(docs, weights, cap, blocks, block_docs, shards, seed)
-    small = F.broadcast if max(draws.count(), of.count()) <= SMALL_PLAN else lambda x: x
-    of = of.select(F.col("none").alias("_none"), F.col("source").alias("_source"), F.col("blocks").alias("_blocks"))
-    keyed = _keyed(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "doc_id", "text", "source"), seed)
-    keyed = keyed.join(small(of), ["_none", "_source"]).withColumn("_block", F.pmod("_hash", F.col("_blocks")).cast("int"))
-    keyed = keyed.select("row", F.col("doc_id").cast("long").alias("_id"), "_size", "_none", "_source", "_hash", "_block")
-    draws = draws.select(F.col("none").alias("_none"), F.col("source").alias("_source"), F.col("block").alias("_block"), F.col("pass").alias("mix_copy"), F.col("shard").alias("mix_shard"), "partly")
-    each = keyed.join(small(draws), ["_none", "_source", "_block"])
-    # only the draws of a source's last block have to ask which of its documents fit
-    fits = own.filter("fits and `block` = `limit`").select(F.col("none").alias("_none"), F.col("source").alias("_source"), F.col("hash").alias("_hash"), F.col("size").alias("_size"), F.coalesce("doc_id", F.lit(0)).alias("_key"), F.col("doc_id").isNull().alias("_null"))
-    keys = ["_none", "_source", "_hash", "_size", "_key", "_null"]
+    names = [c for c in docs.columns if c.lower() not in MIX_COLUMNS]
+    p = plan(docs, weights, cap, blocks, block_docs, shards, seed)
+    of = p.sources.select(F.col("none").alias("_none"), F.col("source").alias("_source"), F.col("blocks").alias("_blocks"))
+    keyed = _keyed(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "doc_id", "text", "source"), seed).drop("_size")
+    keyed = keyed.join(p.small(of, p.n_draws), ["_none", "_source"]).withColumn("_block", F.pmod("_hash", F.col("_blocks")).cast("int"))
+    keyed = keyed.select("row", F.col("doc_id").cast("long").alias("_id"), "_none", "_source", "_hash", "_block")
+    draws = p.draws.select(F.col("none").alias("_none"), F.col("source").alias("_source"), F.col("block").alias("_block"), F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"), "partly")
+    each = keyed.join(p.small(draws, p.n_draws), ["_none", "_source", "_block"])
+    # of a source's last block only the documents that fit are taken; equal rows by their number
+    fits = p.fits.select(F.col("none").alias("_none"), F.col("source").alias("_source"), F.col("hash").alias("_hash"), F.coalesce("doc_id", F.lit(0)).alias("_key"), F.col("doc_id").isNull().alias("_null"))
+    keys = ["_none", "_source", "_hash", "_key", "_null"]
     edge = each.filter("partly").withColumns({"_key": F.coalesce("_id", F.lit(0)), "_null": F.col("_id").isNull()})
     edge = edge.withColumn("_twin", F.row_number().over(W.partitionBy(*keys).orderBy("_hash")))
     edge = edge.join(fits.groupBy(*keys).agg(F.count("*").alias("_n")), keys).filter("_twin <= _n")
     kept = [F.col(f"row.`{c}`").alias(c) for c in names]
     rest = ["mix_copy", "mix_shard", F.xxhash64(F.lit(seed + 1), "_hash", "mix_copy").alias("mix_rank")]
-    return each.filter("not partly").select(*kept, *rest).unionAll(edge.select(*kept, *rest))
+    rows = each.filter("not partly").select(*kept, *rest).unionAll(edge.select(*kept, *rest))
+    return rows.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_rank", "mix_copy")

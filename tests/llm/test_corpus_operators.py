@@ -69,7 +69,8 @@ def test_mix_meets_its_targets_and_reruns_agree(spark):
     by = {r.doc_id: r for r in docs_of(spark).collect()}
     assert len(got) == len(by)
     of = {}
-    for doc, size, source_size, target, taken in got:
+    for doc, size, source_size, target, taken, shards in got:
+        assert taken == size * len(shards) and all(0 <= s < mixing.SHARDS for s in shards)
         assert size == len(by[doc].text.split()) and taken <= 3 * size and (not size or taken % size == 0)
         of.setdefault(by[doc].source, []).append((size, source_size, target, taken))
     order = sorted(of)
@@ -79,12 +80,57 @@ def test_mix_meets_its_targets_and_reruns_agree(spark):
         assert abs(sum(r[3] for r in rows) - rows[0][2]) <= 0.05 * rows[0][2]
 
 
+def test_draws_come_from_the_tree(spark, monkeypatch):
+    """With another tree the documents go to other shards; the words that sources give stay."""
+    df = docs_of(spark)
+    p = mixing.plan(df, block_docs=4)
+    blocks = p.documents.groupBy("none", "source", "block").count().count()
+    rows = p.draws.collect()
+    assert len(rows) == p.n_draws and len({(r.none, r.source, r.block, r["copy"]) for r in rows}) == len(rows)  # disjoint
+    assert len({(r.none, r.source, r.block) for r in rows}) <= blocks
+    per = np.bincount([r.shard for r in rows], minlength=mixing.SHARDS)
+    assert per.max() - per.min() <= 5  # whole quotas, as even as halving allows
+    whole = {r.doc_id: (r.taken, r.shards) for r in mixing.mix_report(df).collect()}
+
+    def all_in_one(quotas, shards, rng):
+        return np.vstack([quotas, np.zeros((shards - 1, len(quotas)), np.int64)])
+
+    monkeypatch.setattr(mixing, "split_quotas", all_in_one)
+    one = {r.doc_id: (r.taken, r.shards) for r in mixing.mix_report(df).collect()}
+    assert {s for _, x in one.values() for s in x} == {0} and len({s for _, x in whole.values() for s in x}) > 4
+    assert {k: v[0] for k, v in one.items()} == {k: v[0] for k, v in whole.items()}
+    # a tree that loses draws loses words: nothing but the draws is counted
+    monkeypatch.setattr(mixing, "split_quotas", lambda q, n, rng: np.vstack([q, np.zeros((n - 1, len(q)), np.int64)]) * 0)
+    with pytest.raises(Exception):
+        mixing.mix_report(df).collect()
+
+
+def test_a_mix_has_no_source_too_many(spark):
+    df = spark.createDataFrame([(i, "w " * (1 + i % 5), f"s{i:05d}") for i in range(3000)], "doc_id long, text string, source string")
+    got = mixing.mix_report(df).collect()
+    sizes = [r.size for r in sorted(got, key=lambda r: r.doc_id)]
+    assert [r.target for r in sorted(got, key=lambda r: r.doc_id)] == pytest.approx(plain_targets(sizes))
+    assert all(abs(r.taken - r.target) <= (r.size + 1) / 2 for r in got)  # a source of one document: the nearest multiple
+
+
+def test_shards_are_shuffled_locally(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"w{i} " * 3, "ab"[i % 2]) for i in range(2000)], "doc_id long, text string, source string")
+    mixing.mix(df).write.parquet(str(tmp_path / "m"))
+    rows = spark.read.parquet(str(tmp_path / "m")).withColumn("file", F.input_file_name()).collect()
+    files = {}
+    for r in rows:
+        files.setdefault(r.mix_shard, set()).add(r.file)
+    assert len(files) == mixing.SHARDS and all(len(x) == 1 for x in files.values())
+    first = [r.doc_id for r in rows if r.mix_shard == rows[0].mix_shard]
+    assert first != sorted(first) and [r.mix_rank for r in rows if r.mix_shard == 3] == sorted(r.mix_rank for r in rows if r.mix_shard == 3)
+
+
 def test_mix_rows_agree_with_the_report(spark, make):
     rows = [(i, t, (None, "a", "b")[n % 3]) for n, (i, t) in enumerate(ODD)] + [(100 + i, "w " * (i % 9 + 1), "abc"[i % 3]) for i in range(400)] + [(900, "one two", "a")] * 3
     for df in (make(rows), make(rows).limit(0)):
         report = mixing.mix_report(df).groupBy("doc_id").agg(F.sum("taken").alias("t"), F.sum("size").alias("s")).collect()
         mixed = mixing.mix(df)
-        assert mixed.columns[: len(df.columns)] == df.columns or "mix_rank" in df.columns
+        assert mixed.columns == [*(c for c in df.columns if c != "mix_rank"), "mix_copy", "mix_shard", "mix_rank"]
         words = {r[0]: r[1] for r in mixed.select("doc_id", mixing.word_count(F.col("text")).alias("n")).groupBy("doc_id").agg(F.sum("n")).collect()}
         assert {r.doc_id: r.t for r in report if r.t} == {k: v for k, v in words.items() if v}
 
