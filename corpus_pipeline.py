@@ -24,7 +24,7 @@ def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with benchmark passages in one word of twenty or more go."""
+    """Documents with a window of a benchmark item go, however long they are."""
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
