@@ -1,30 +1,39 @@
 """Repeated passages by prefix-free parsing, to a fixed depth of the corpus order.
 
 A byte goes if a `depth`-byte string that covers it also starts in a document with a
-smaller id. Only the order of suffixes to that depth matters, so the corpus's suffix
-array is never written out; what prefix-free parsing gives is used as follows.
+smaller id. Only the order of suffixes to that depth matters.
 
 Parse. Rolling-hash triggers are the least 16-byte grams of each depth-byte window.
 Every window has one trigger and belongs to one phrase: the windows with the same
 trigger, with all their bytes (phrases overlap by depth - 1 bytes, which makes them
-prefix-free for this depth).
+prefix-free for this depth). A document is the sequence of its phrases' numbers.
 Dictionary. Equal phrases anywhere in the corpus become one entry. Phrases of a later
 document than the entry's first are repeats as a whole; they take no further part.
-Order. Two suffixes can agree to the depth only if their windows have the same trigger
-gram. Entries whose gram has a single phrase are in place already; the suffixes of the
-other entries are ordered by the values of their first `depth` bytes, and each class of
-equal ones gets the least id of its documents.
+Order. The suffixes of the dictionary's entries are sorted by their bytes, to the depth:
+its suffix array. In general the parse's suffix array would order the suffixes that agree
+to the end of a phrase; here every window ends within its phrase, so none is left over,
+and an entry's place in the parse only says which document has it first. Two suffixes can
+agree to the depth only if their windows have the same trigger gram and the same 16 bytes
+before or after it, so the array comes in parts by gram and these bytes, and entries that
+share neither with another entry are in place already. Each class of suffixes that agree
+gets the least id of its documents.
 The answers return to the documents, which are parsed again rather than kept.
 
+Equality. Of phrases: 64 bits of their hash and 32 to 48 of their gram's. Of windows: their
+bytes. At 100 TB (about 6e12 phrases) a false pair of phrases has a chance of about 1e-8.
+
 Scale. Documents lie in blocks (by hash), compressed, in one checkpointed table that is
-partitioned by block; both passes over it shuffle nothing but keys. Keys are deduplicated
-within a block before they leave it and spread by hash, so a gram, phrase or passage of a
-third of all rows brings at most a few keys per block: a gram with more than `many`
-phrases in one block sends a mark in their place.
+partitioned by block; both passes over it shuffle nothing but keys and the entries to be
+ordered. Both are deduplicated within a block before they leave it and spread by hash, so a
+gram, phrase or passage of a third of all rows brings at most a few keys per block: a gram
+with more than `many` phrases in one block sends a mark in their place, and its entries are
+spread by the bytes beside it. A group still grows with the number of blocks that share a
+key (16 bytes each).
 
 Defined cases: null texts are empty; texts shorter than the depth lose nothing; a null id
 counts as the largest; rows of equal ids don't take bytes from each other; an empty table
-gives an empty result; other columns are carried only where asked for.
+gives an empty result; other columns are carried only where asked for. A document is held
+whole by one task, with about 10 bytes for each of its own.
 """
 
 from __future__ import annotations
@@ -68,10 +77,10 @@ def _words(buf: np.ndarray) -> np.ndarray:
 def _parse(buf: np.ndarray, cuts: list[int], depth: int) -> tuple[np.ndarray, ...]:
     """Phrases of a buffer of at most 2**20 bytes in which no window crosses a cut.
 
-    Returns starts, numbers of windows, gram hashes, phrase hashes and sides: two 12-bit hashes,
-    of the bytes before and after the gram. Windows of two phrases that are equal have one of
-    these in common, since most of what is left of a window lies on one side; 0: no window
-    reaches so far.
+    Returns starts, numbers of windows, gram hashes, phrase hashes, sides and the grams' offsets.
+    sides: two 12-bit hashes, of the bytes before and after the gram. Windows of two phrases that
+    are equal have one of these in common, since most of what is left of a window lies on one
+    side; 0: no window reaches so far.
     """
     n, w = len(buf), depth - GRAM + 1
     words = _words(buf)
@@ -89,7 +98,7 @@ def _parse(buf: np.ndarray, cuts: list[int], depth: int) -> tuple[np.ndarray, ..
         valid[max(0, c - depth + 1) : c] = False
     at = np.flatnonzero(valid)
     if not len(at):
-        return at, at, *[np.zeros(0, np.uint64)] * 3
+        return at, at, *[np.zeros(0, np.uint64)] * 3, at
     t = trigger[at]
     new = np.ones(len(at), bool)
     new[1:] = (t[1:] != t[:-1]) | (at[1:] != at[:-1] + 1)
@@ -100,13 +109,15 @@ def _parse(buf: np.ndarray, cuts: list[int], depth: int) -> tuple[np.ndarray, ..
     g, half = t[first], (depth - GRAM + 1) // 2
     left = np.where(g - lo >= half, mix64(h[np.maximum(g - GRAM, 0)]) % U64(4095) + U64(1), U64(0))
     right = np.where(hi > g - half, mix64(h[np.minimum(g + GRAM, len(h) - 1)]) % U64(4095) + U64(1), U64(0))
-    return lo, hi - lo + 1, mix64(h[g] ^ _C1), mix64(phrase ^ (hi - lo).astype(np.uint64)), left << U64(12) | right
+    return lo, hi - lo + 1, mix64(h[g] ^ _C1), mix64(phrase ^ (hi - lo).astype(np.uint64)), left << U64(12) | right, g - lo
 
 
 class Block:
     """The documents of a block in order of id, parsed, with the entries of its own dictionary."""
 
     def __init__(self, ids: list, texts: list[bytes], depth: int = DEPTH, bits: int = 48) -> None:
+        if (depth - GRAM + 1) // 2 < GRAM:
+            raise ValueError(f"a depth of {depth} is too small for grams of {GRAM} bytes")
         self.depth, self.shift = depth, U64(64 - bits)
         self.rows = sorted(range(len(ids)), key=lambda i: (_NO_ID if ids[i] is None else ids[i], i))
         self.ids = np.array([_NO_ID if ids[i] is None else ids[i] for i in self.rows], np.int64)
@@ -123,8 +134,8 @@ class Block:
             lo, *rest = _parse(self.raw[start:stop], inner, depth)
             parts.append((lo + start, *rest))
             start = stop - depth + 1 if stop < size else size
-        empty = (*[np.zeros(0, np.int64)] * 2, *[np.zeros(0, np.uint64)] * 3)
-        self.at, self.n, g, p, sides = (np.concatenate(x) for x in zip(*parts)) if parts else empty
+        empty = (*[np.zeros(0, np.int64)] * 2, *[np.zeros(0, np.uint64)] * 3, np.zeros(0, np.int64))
+        self.at, self.n, g, p, sides, self.offset = (np.concatenate(x) for x in zip(*parts)) if parts else empty
         self.doc = self.ids[np.searchsorted(self.ends, self.at, side="right")]
         # equal phrases lie together, least id first: the order of ids is kept by the stable sort
         order = np.argsort((g & ~U64(0xFFFF)) | (p >> U64(48)), kind="stable")
@@ -160,19 +171,26 @@ class Block:
         sent = (mark == 0) | run
         number = np.cumsum(sent) - 1
         lowest = np.minimum.reduceat(doc, heads)[of] if n else doc
-        return gram[sent], self.phrase[sent] >> U64(16), np.where(mark == 0, doc, lowest)[sent], mark[sent], np.where(mark == 0, self.sides, U64(0))[sent], number
+        return gram[sent], self.phrase[sent], np.where(mark == 0, doc, lowest)[sent], mark[sent], np.where(mark == 0, self.sides, U64(0))[sent], number
+
+    def parts(self, code: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+        """The parts of entries whose suffixes have to be ordered: bucket, entry, start, number of windows.
 
-    def windows(self, entries: np.ndarray) -> tuple[np.ndarray, ...]:
-        """All windows of the entries, in order: hash, check, id, and the first one's number for each entry."""
-        rep = self.first[entries]
-        n = self.n[rep]
-        begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
-        at = np.repeat(self.at[rep] - begin[:-1], n) + np.arange(begin[-1])
-        h = np.zeros(len(at), np.uint64)
-        words = _words(self.raw) if len(at) else h
-        for i, o in enumerate([*range(0, self.depth - 7, 8), self.depth - 8]):
-            h = mix64(h + words[at + o] * _C1 + U64(i))
-        return h, mix64(h * _C2 + words[at + self.depth // 2] if len(at) else h) >> U64(48), np.repeat(self.doc[rep], n), begin[:-1]
+        code: 2 for the windows that hold the bytes before the gram, 4 for those that hold the bytes
+        after it. Parts are in order of bucket.
+        """
+        rep = self.first
+        lo, gram = self.at[rep], self.at[rep] + self.offset[rep]
+        hi, half = lo + self.n[rep] - 1, (self.depth - GRAM + 1) // 2
+        words, found = _words(self.raw), []
+        for bit, start, stop, beside in ((2, lo, np.minimum(hi, gram - half), -GRAM), (4, np.maximum(lo, gram - half + 1), hi, GRAM)):
+            e = np.flatnonzero((code & bit > 0) & (stop >= start))
+            at = gram[e] + beside
+            key = mix64(mix64(words[at] * _C1 + words[at + 8] * _C2 + U64(bit)) + self.gram[e])
+            found.append((_bucket(key, 64, buckets), e, start[e], stop[e] - start[e] + 1))
+        found = [np.concatenate(x) for x in zip(*found)]
+        order = np.argsort(found[0], kind="stable")
+        return tuple(x[order] for x in found)
 
 
 # ------------------------------------------------------------ keys on the wire
@@ -216,12 +234,33 @@ def _received(group: pa.Table) -> tuple[list, list[np.ndarray], np.ndarray]:
     return origin, [np.concatenate(x) for x in zip(*parts)], np.cumsum([0, *sizes])
 
 
-def _answer(origin: list, codes: np.ndarray, limits: np.ndarray) -> pa.Table:
-    rows = [(*o, codes[a:b].tobytes()) for o, a, b in zip(origin, limits[:-1].tolist(), limits[1:].tolist())]
+def _answer(origin: list, codes: list[np.ndarray]) -> pa.Table:
+    rows = [(*o, c.tobytes()) for o, c in zip(origin, codes)]
     give_back()
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], _BACK_PA.field(i).type) for i in range(4)], schema=_BACK_PA)
 
 
+def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[i], start[i] + 1, ... n[i] numbers, one i after the other."""
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _send_parts(block: Block, number: int, parts: tuple[np.ndarray, ...]) -> pa.Table:
+    """Parts of entries with their bytes and documents, a row for each bucket."""
+    from zstandard import ZstdCompressor
+
+    squeeze = ZstdCompressor(level=1).compress
+    bucket, entry, start, n = parts
+    ids, size = block.doc[block.first[entry]], n + block.depth - 1
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist() + [len(bucket)] if len(bucket) else []
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        known, which = np.unique(ids[a:b], return_inverse=True)
+        text = block.raw[_ragged(start[a:b], size[a:b])].tobytes()
+        out.append((2, int(bucket[a]), number, known.tobytes(), [squeeze(_pack(which)), squeeze(n[a:b].astype(np.uint8).tobytes()), squeeze(text)]))
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], _WIRE_PA.field(i).type) for i in range(5)], schema=_WIRE_PA)
+
+
 def _starts(*columns: np.ndarray) -> np.ndarray:
     new = np.ones(len(columns[0]), bool)
     for i, c in enumerate(columns):
@@ -230,14 +269,15 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
 
 
 def _judge_phrases(group: pa.Table) -> pa.Table:
-    """1: a smaller id has the phrase; 2: its suffixes have to be ordered; 0: neither."""
+    """1: a smaller id has the phrase; 2, 4: its suffixes with the bytes before (2) or after the gram
+    (4) have to be ordered; 0: none of these."""
     origin, (gram, ids, phrase, mark, sides), limits = _received(group)
     mark = mark.astype(np.uint8)
     source = np.repeat(np.arange(len(origin)), np.diff(limits)).astype(np.uint64)
-    phrase = np.where(mark > 0, (U64(1) << U64(50)) + source, phrase)
-    order = np.lexsort((ids, phrase, gram))
+    phrase = np.where(mark > 0, source, phrase)
+    order = np.lexsort((ids, phrase, mark > 0, gram))
     g, p, d, m = gram[order], phrase[order], ids[order], mark[order]
-    new = _starts(g, p)
+    new = _starts(g, p, m > 0)
     least = d[np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))]
     top = _starts(g)
     heads = np.flatnonzero(top)
@@ -246,29 +286,46 @@ def _judge_phrases(group: pa.Table) -> pa.Table:
     apart = (np.maximum.reduceat(d, heads) > np.minimum.reduceat(d, heads)) | (most == 2)
     # open: another phrase of the gram has the same bytes on a side, or can't be told
     some = np.flatnonzero(new)
-    open_ = (most > 0)[of[some]]
-    for side in (sides[order][some] >> U64(12), sides[order][some] & U64(4095)):
+    open_ = np.where((most > 0)[of[some]], 6, 0)
+    for bit, side in ((2, sides[order][some] >> U64(12)), (4, sides[order][some] & U64(4095))):
         by = np.lexsort((side, g[some]))
         head = _starts(g[some][by], side[by])
         alike = np.add.reduceat(np.ones(len(by), np.int64), np.flatnonzero(head))[np.cumsum(head) - 1]
-        open_[by] |= (alike > 1) & (side[by] > 0)
+        open_[by] |= np.where((alike > 1) & (side[by] > 0), bit, 0)
     open_ = open_[np.cumsum(new) - 1]  # rows of one id may lie in several blocks
-    code = np.where((d > least) & (m == 0), 1, np.where(open_ & apart[of], 2, 0)).astype(np.uint8)
+    code = np.where((d > least) & (m == 0), 1, np.where(apart[of], open_, 0)).astype(np.uint8)
     codes = np.empty(len(code), np.uint8)
     codes[order] = code
-    return _answer(origin, codes, limits)
-
-
-def _judge_windows(group: pa.Table) -> pa.Table:
-    """1: a smaller id has the window."""
-    origin, (key, ids, check), limits = _received(group)
-    order = np.lexsort((ids, check, key))
-    k, c, d = key[order], check[order], ids[order]
-    new = _starts(k, c)
-    least = d[np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))]
-    codes = np.empty(len(d), np.uint8)
-    codes[order] = d > least
-    return _answer(origin, codes, limits)
+    return _answer(origin, np.split(codes, limits[1:-1]))
+
+
+def _judge_suffixes(depth: int):
+    """A bit for each window: a smaller id has it. Windows are ordered by their bytes."""
+
+    def judge(group: pa.Table) -> pa.Table:
+        from zstandard import ZstdDecompressor
+
+        unzip = ZstdDecompressor().decompress
+        kinds, buckets, blocks, ids, data = (group.column(i) for i in range(5))
+        origin, parts = [], []
+        for i in range(group.num_rows):
+            which, n, text = (np.frombuffer(unzip(x), np.uint8) for x in data[i].as_py())
+            origin.append((kinds[i].as_py(), buckets[i].as_py(), blocks[i].as_py()))
+            parts.append((np.frombuffer(ids[i].as_py(), np.int64)[_unpack(which.tobytes()).astype(np.int64)], n.astype(np.int64), text))
+        id_, n, text = (np.concatenate(x) for x in zip(*parts))
+        size = n + depth - 1
+        start = _ragged(np.cumsum(size) - size, n)  # suffixes of at least the depth
+        word = np.ndarray((len(text) - 7,), ">u8", text, strides=(1,))
+        keys = [word[start + o].astype(np.uint64) for o in (*range(0, depth - 7, 8), depth - 8)]
+        doc = np.repeat(id_, n)
+        array = np.lexsort((doc, *reversed(keys)))
+        new = _starts(*(k[array] for k in keys))
+        d = doc[array]
+        gone = np.empty(len(d), bool)
+        gone[array] = d > d[np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))]
+        return _answer(origin, [np.packbits(x) for x in np.split(gone, np.cumsum([x[1].sum() for x in parts])[:-1])])
+
+    return judge
 
 
 # ------------------------------------------------------------------ the passes
@@ -292,21 +349,15 @@ def _load(docs: pa.Table, depth: int, bits: int) -> Block:
     return Block(docs.column("doc_id").to_pylist(), [unzip(z.as_py()) for z in docs.column("z")], depth, bits)
 
 
-def _codes(back: pa.Table, kind: int) -> np.ndarray:
-    """A block's answers of one kind, in the order in which it sent its keys."""
+def _codes(back: pa.Table, kind: int) -> list[np.ndarray]:
+    """A block's answers of one kind by bucket, in the order in which it sent its keys."""
     rows = sorted((b, c) for k, b, c in zip(back.column("kind").to_pylist(), back.column("bucket").to_pylist(), back.column("codes").to_pylist()) if k == kind)
-    return np.frombuffer(b"".join(c for _, c in rows), np.uint8)
+    return [np.frombuffer(c, np.uint8) for _, c in rows]
 
 
-def _window_keys(block: Block, codes: np.ndarray) -> tuple:
-    """Entries to be ordered, their windows, and the distinct ones, sorted, least id first."""
+def _entry_codes(block: Block, back: pa.Table) -> np.ndarray:
     number = block.keys()[5]
-    code = codes[number] if len(number) else codes
-    entries = np.flatnonzero(code == 2)
-    h, check, ids, begin = block.windows(entries)
-    order = np.lexsort((ids, check, h))
-    new = _starts(h[order], check[order])
-    return code, entries, begin, h, check, ids, order, new
+    return np.concatenate(_codes(back, 1))[number] if len(number) else np.zeros(0, np.uint8)
 
 
 def _pack_docs(docs: DataFrame, blocks: int, carried: list[str]) -> DataFrame:
@@ -344,29 +395,29 @@ def repeated_passages(docs: DataFrame, depth: int = DEPTH, carried: list[str] |
         return _send(1, key[0].as_py(), _bucket(gram, bits, buckets), gram, ids, [phrase, mark, sides])
 
     def open_suffixes(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
-        _, _, _, h, check, ids, order, new = _window_keys(_load(group, depth, bits), _codes(back, 1))
-        some = order[new]
-        return _send(2, key[0].as_py(), _bucket(h[some], 64, buckets), h[some], ids[some], [check[some]])
+        block = _load(group, depth, bits)
+        return _send_parts(block, key[0].as_py(), block.parts(_entry_codes(block, back), buckets))
 
     def remove(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
         block = _load(group, depth, bits)
-        code, entries, begin, _, _, ids, order, new = _window_keys(block, _codes(back, 1))
-        known = _codes(back, 2)
-        of = np.cumsum(new) - 1
-        gone = np.zeros(len(ids), bool)
-        if len(ids):
-            gone[order] = (known[of] == 1) | (ids[order] > ids[order[new]][of])
+        code = _entry_codes(block, back)
+        bucket, entry, start, n = block.parts(code, buckets)
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else bucket
+        bits_of = [np.unpackbits(c, count=int(k)) for c, k in zip(_codes(back, 2), np.add.reduceat(n, cuts))] if len(bucket) else []
+        entries = np.flatnonzero(code & 6)
+        many = block.n[block.first[entries]]
+        slot = np.full(len(block.first), -1, np.int64)
+        slot[entries] = np.cumsum(many) - many
+        gone = np.zeros(int(many.sum()), bool)
+        if len(bucket):
+            gone[_ragged(slot[entry] + start - block.at[block.first[entry]], n)] = np.concatenate(bits_of) > 0
         change = np.zeros(len(block.raw) + depth, np.int32)
         whole = (code[block.entry] == 1) | (block.doc > block.doc[block.first[block.entry]]) if len(block.entry) else np.zeros(0, bool)
         np.add.at(change, block.at[whole], 1)
         np.subtract.at(change, block.at[whole] + block.n[whole] + depth - 1, 1)
-        slot = np.full(len(block.first), -1, np.int64)
-        slot[entries] = begin
         rest = np.flatnonzero(~whole & (slot[block.entry] >= 0)) if len(block.entry) else np.zeros(0, np.int64)
         n = block.n[rest]
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        hit = gone[np.repeat(slot[block.entry[rest]], n) + step]
-        at = (np.repeat(block.at[rest], n) + step)[hit]
+        at = _ragged(block.at[rest], n)[gone[_ragged(slot[block.entry[rest]], n)]]
         np.add.at(change, at, 1)
         np.subtract.at(change, at + depth, 1)
         covered = np.cumsum(change) > 0
@@ -385,7 +436,7 @@ def repeated_passages(docs: DataFrame, depth: int = DEPTH, carried: list[str] |
     by_block = lean.groupBy("block")
     first = stable(by_block.applyInArrow(parse, _WIRE).groupBy("bucket").applyInArrow(_judge_phrases, _BACK))
     sent = by_block.cogroup(first.groupBy("block")).applyInArrow(open_suffixes, _WIRE)
-    second = sent.groupBy("bucket").applyInArrow(_judge_windows, _BACK)
+    second = sent.groupBy("bucket").applyInArrow(_judge_suffixes(depth), _BACK)
     schema = "doc_id long, " + (f"rest {packed.schema['rest'].dataType.simpleString()}, " if carried else "")
     schema += "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     final = packed if carried else lean

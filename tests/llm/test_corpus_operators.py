@@ -257,11 +257,29 @@ def passages(seed):
 @pytest.mark.parametrize("block,bucket,many", [(1 << 22, 1 << 22, 8), (700, 5000, 8), (3000, 900, 0)])
 def test_repeats_equal_brute_force(make, monkeypatch, block, bucket, many):
     monkeypatch.setattr(suffix_dedup.Block.keys, "__defaults__", (many,))
-    rows = passages(block) + [(i, t) for i, t in ODD if i != 8]
+    rows = passages(block) + ODD
     got = suffix_dedup.repeated_passages(make(rows), block_bytes=block, bucket_bytes=bucket)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_repeats(rows)
 
 
+def test_suffixes_are_ordered_by_their_bytes():
+    """A dictionary's suffixes, judged together, against a plain sort of all of them."""
+    import pyarrow as pa
+
+    texts = [(t or "").encode() for _, t in passages(4)]
+    block = suffix_dedup.Block(list(range(len(texts))), texts)
+    sent = suffix_dedup._send_parts(block, 0, block.parts(np.full(len(block.first), 6, np.uint8), 1))
+    got = np.unpackbits(np.frombuffer(suffix_dedup._judge_suffixes(50)(sent).column("codes")[0].as_py(), np.uint8))
+    _, entry, start, n = block.parts(np.full(len(block.first), 6, np.uint8), 1)
+    raw, doc = block.raw.tobytes(), block.doc[block.first[entry]]
+    windows = [(raw[s + i : s + i + 50], int(d)) for s, k, d in zip(start.tolist(), n.tolist(), doc) for i in range(k)]
+    least = {}
+    for w, d in windows:
+        least[w] = min(d, least.get(w, d))
+    assert got[: len(windows)].tolist() == [int(d > least[w]) for w, d in windows] and sum(got) > 0
+    assert int(n.sum()) == int(block.n[block.first].sum()) and isinstance(sent, pa.Table)
+
+
 def test_pieces_overlap(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_PIECE", 300)
     text = passages(1)[0][1].encode() * 3
