@@ -10,9 +10,13 @@ alignment runs on stretches of about its length, wherever in the whole text they
 no stretch reaches the coverage, as where other words lie between a template's parts, the
 whole text is aligned; a text that lacks the words can't reach it and is not aligned.
 
+A text may hold several licenses: all are returned, the best first; where occurrences
+share half of the words, the one of the better coverage, then of the longer template, then the first by name
+wins. Notices of a few words are sentences that prose may resemble, so they count only as
+one piece (a word more than their own at most) and not after a negation.
+
 Defined cases: null and empty texts have no license; repeated rows are scanned row by row;
-of equal coverages the longer template, then the first by name wins; an empty table gives
-an empty result; other columns are not read.
+an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from folioforge.llm.common import id_and_bytes
 
 #: Least coverage of a template, and words of a stretch beyond the template's own, as a share.
 COVERAGE, SLACK = 0.8, 0.5
+#: Templates of fewer words are notices; words that negate one within the three words before it.
+NOTICE, NEGATIONS = 20, frozenset([b"not", b"never", b"no", b"isn", b"aren", b"wasn", b"nor"])
 
 #: Widely used notices, by SPDX-like name.
 TEMPLATES = {
@@ -57,6 +63,23 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
     ),
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "LGPL": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "AGPL": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
     "GPL": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
         "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
@@ -141,27 +164,33 @@ class Scanner:
         if start is not None:
             yield start, last + 1
 
-    def best(self, doc: list[bytes]) -> tuple | None:
-        """(coverage, template length, name, start, end, matched) of the best template, or None."""
+    def find(self, doc: list[bytes]) -> list[tuple]:
+        """(coverage, template length, name, start, end, matched, places) of each license, the best first."""
         own = set(doc)
-        found = None
-        for template in self.templates:
-            name, w, count, known = template
+        found = []
+        for name, w, count, known in self.templates:
             if sum(count[x] for x in known & own) < self.coverage * len(w):
                 continue
-            passed = [x for start, end in self._stretches(doc, template) for a, b in self._cut(start, end, len(w)) if (x := self._match(doc, a, b, name, w))]
+            passed = [x for start, end in self._stretches(doc, (name, w, count, known)) for a, b in self._cut(start, end, len(w)) if (x := self._match(doc, a, b, name, w))]
             if not passed and (x := self._match(doc, 0, len(doc), name, w)):
                 passed = [x]
-            for got in passed:
-                if found is None or (got[0], got[1]) > (found[0], found[1]):
-                    found = got
-        return found
+            found += passed
+        kept: list[tuple] = []
+        for x in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[3])):
+            if 2 * sum(any(k[3] <= i < k[4] for k in kept) for i in x[6]) < x[5]:
+                kept.append(x)
+        return kept
 
     def _match(self, doc: list[bytes], a: int, b: int, name: str, w: list[bytes]) -> tuple | None:
-        """What best() returns, of one piece and one template, if it reaches the coverage."""
+        """What find() returns, of one piece and one template, if it reaches the coverage."""
         pairs = align(doc[a:b], w)
         share = len(pairs) / len(w)
-        return (share, len(w), name, a + pairs[0][0], a + pairs[-1][0] + 1, len(pairs)) if share >= self.coverage else None
+        if share < self.coverage:
+            return None
+        start, end = a + pairs[0][0], a + pairs[-1][0] + 1
+        if len(w) < NOTICE and (end - start > len(w) + 1 or NEGATIONS.intersection(doc[max(0, start - 3) : end])):
+            return None
+        return share, len(w), name, start, end, len(pairs), [a + i for i, _ in pairs]
 
     def _cut(self, start: int, end: int, n: int) -> Iterator[tuple[int, int]]:
         """Pieces of a long stretch that overlap so that any occurrence lies within one."""
@@ -172,8 +201,12 @@ class Scanner:
         yield start, end
 
 
+_LICENSES = "array<struct<license:string,coverage:double,start_word:bigint,end_word:bigint>>"
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
-    """Per document: doc_id, n_words, license (null: none), coverage, matched and the word range it spans."""
+    """Per document: doc_id, n_words; license (null: none), coverage, matched and the word range of its best license;
+    licenses: all of them, the best first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, coverage)
@@ -181,9 +214,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
             rows = []
             for text in batch.column(1):
                 doc = words(text.as_py())
-                b = scanner.best(doc)
-                rows.append((len(doc), *((b[2], b[0], b[5], b[3], b[4]) if b else (None, 0.0, 0, None, None))))
-            kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names=["doc_id", "n_words", "license", "coverage", "matched", "start_word", "end_word"])
-
-    return id_and_bytes(docs).mapInArrow(run, "doc_id long, n_words long, license string, coverage double, matched long, start_word long, end_word long")
+                found = scanner.find(doc)
+                b = found[0] if found else None
+                rows.append((len(doc), *((b[2], b[0], b[5], b[3], b[4]) if b else (None, 0.0, 0, None, None)), [{"license": x[2], "coverage": x[0], "start_word": x[3], "end_word": x[4]} for x in found]))
+            each = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]))
+            kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), each]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names=["doc_id", "n_words", "license", "coverage", "matched", "start_word", "end_word", "licenses"])
+
+    return id_and_bytes(docs).mapInArrow(run, f"doc_id long, n_words long, license string, coverage double, matched long, start_word long, end_word long, licenses {_LICENSES}")

@@ -47,6 +47,43 @@ def test_license_with_foreign_words_between_its_parts(make):
     assert (row.license, row.coverage, row.start_word, row.end_word) == ("ISC", 1.0, 0, row.n_words)
 
 
+def test_all_licenses_of_a_text_and_no_resemblance(make):
+    t = license_scan.TEMPLATES
+    prose = "some words between the two notices " * 30
+    rows = [(1, t["MIT"] + prose + t["GPL"] + prose + "Released under the MIT License."), (2, t["LGPL"]), (3, t["AGPL"]), (4, "code released under a license like the MIT one"), (5, "This is not released under the MIT License."), (6, "It isn't licensed under CC BY-NC 4.0."), (7, "Released under MIT license."), (8, t["MPL-2.0"] + t["Unlicense"])]
+    got = {r.doc_id: [x.license for x in r.licenses] for r in license_scan.scan(make(rows)).collect()}
+    assert sorted(got[1]) == ["GPL", "MIT", "MIT-notice"] and got[2] == ["LGPL"] and got[3] == ["AGPL"]
+    assert got[4] == got[5] == got[6] == [] and got[7] == ["MIT-notice"] and sorted(got[8]) == ["MPL-2.0", "Unlicense"]
+
+
+def brute_common(a, b):
+    """Length of the longest common subsequence."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+def test_alignment_is_at_most_and_mostly_the_longest(spark):
+    """Against the longest common subsequence: never more, all of it where words are unique, and the scan's matches are real."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(60):
+        a, b = ([rng.choice("abcdefghij") for _ in range(rng.randrange(12))] for _ in range(2))
+        assert len(license_scan.align(a, b)) <= brute_common(a, b)
+        b = rng.sample(range(40), 20)
+        a = [x for x in b if rng.random() < 0.8] + [99]
+        assert len(license_scan.align(a, b)) == brute_common(a, b) == len(a) - 1
+    by = {r.doc_id: license_scan.words(r.text.encode()) for r in docs_of(spark).collect()}
+    hits = [r for r in queries()["op1_license_scan"](spark, DATA).collect() if r.license]
+    for r in hits:
+        w = license_scan.words(license_scan.TEMPLATES[r.license].encode())
+        assert 0.8 <= r.coverage <= brute_common(by[r.doc_id][r.start_word : r.end_word], w) / len(w) and r.matched == round(r.coverage * len(w))
+    assert hits
+
+
 # -------------------------------------------------------------- fingerprints
 
 
