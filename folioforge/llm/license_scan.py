@@ -175,10 +175,11 @@ class Scanner:
             if not passed and (x := self._match(doc, 0, len(doc), name, w)):
                 passed = [x]
             found += passed
-        kept: list[tuple] = []
+        kept, taken = [], set()
         for x in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[3])):
-            if 2 * sum(any(k[3] <= i < k[4] for k in kept) for i in x[6]) < x[5]:
+            if 2 * len(taken.intersection(x[6])) < x[5]:
                 kept.append(x)
+                taken.update(x[6])
         return kept
 
     def _match(self, doc: list[bytes], a: int, b: int, name: str, w: list[bytes]) -> tuple | None:
