@@ -129,7 +129,8 @@ def edit_report(docs: DataFrame, size: int = SIZE) -> DataFrame:
     firsts = keyed.filter(is_head).groupBy("part").agg(F.min_by(F.struct("doc_id", "text"), F.struct("doc_id", F.xxhash64("text"))).alias("row"))
     halo = firsts.select("row.doc_id", "row.text", F.element_at(before, F.col("part")).alias("part"), F.lit(1).alias("halo"))
     both = whole.select("doc_id", "text", "part", "halo").unionAll(halo)
-    both = both.repartition(parts, "part").sortWithinPartitions("part", "halo", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    # a partition for each range, by its number: a hash would put several into one task and leave others empty
+    both = both.repartitionById(len(cuts) + 2, F.col("part")).sortWithinPartitions("part", "halo", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the row before, with its part
