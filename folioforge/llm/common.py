@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
+import re
+import shutil
 import tempfile
 from collections.abc import Iterator
 
@@ -24,13 +27,20 @@ def stable(df: DataFrame, partitioned: bool = False) -> DataFrame:
     partitioned: later groupings by the keys of df's last repartition() shuffle nothing; only
     a plan that isn't adaptive tells its partitioning, so that is off for this one job.
 
-    The folder is the session's spark.checkpoint.dir; only a session without one, as in
-    tests, gets a folder of its own.
+    The folder is the session's spark.checkpoint.dir. Without one a session in one process, as
+    in tests, gets a folder of its own, which goes with the process; a cluster is refused, as its
+    executors share no local folder.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or f"file://{tempfile.mkdtemp(prefix='folioforge-')}")
+        if not shared:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            own = tempfile.mkdtemp(prefix="folioforge-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            shared = f"file://{own}"
+        context.setCheckpointDir(shared)
     if not partitioned:
         return df.checkpoint()
     conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
