@@ -3,8 +3,8 @@
 Rules name a host (with all its subdomains) and a path that a URL's path starts with; the
 longest one that fits wins. The URLs that a rule decides are the labelled ones, from which
 trees on lexical features are trained: length, depth, share of digits, entropy, numbers of
-parameters and labels, and how often labelled hosts of the same last label
-and the same last two labels were blocked.
+parameters and labels, and how often labelled URLs of the same last label on other domains,
+and of the same last two labels on other hosts, were blocked.
 
 Everything is DataFrame expressions. Features are binned; each level of each tree takes one
 aggregation over the labelled rows: gradients summed by leaf, feature and bin, whole numbers
@@ -87,16 +87,23 @@ FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_parameters", "f_l
 
 
 def _with_statistics(df: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Adds how often labelled URLs of the same suffix, and of the same last two labels, were blocked.
+    """Adds how often labelled URLs of the same suffix on other domains, and of the same domain (the
+    last two labels) on other hosts, were blocked.
 
-    Sixteen steps of the smoothed share; keys without labels get the middle. Keys may be
-    many and hot: counts are aggregated before they are joined, and the join isn't forced.
+    A URL's own label, and those that go with it, are thus never in its features: neither while
+    the trees are trained nor when they judge. Sixteen steps of the smoothed share; without such
+    URLs it is the middle. Keys may be many and hot: counts are aggregated before they are
+    joined, and the join isn't forced.
     """
-    for key, name in (("k_suffix", "f_suffix"), ("k_domain", "f_domain")):
-        share = (F.sum("y") + 1) / (F.count("*") + 2)
-        stats = labelled.groupBy(key).agg(F.floor(share * 16).cast("int").alias(name))
-        df = df.join(stats, key, "left").withColumn(name, F.coalesce(name, F.lit(8)))
-    return df
+    sums = lambda by, name: by.agg(F.sum("y").alias(f"y_{name}"), F.sum("c").alias(f"c_{name}"))
+    host = sums(labelled.withColumn("c", F.lit(1)).groupBy("k_suffix", "k_domain", "host"), "host")
+    renamed = host.withColumnsRenamed({"y_host": "y", "c_host": "c"})
+    domain = sums(renamed.groupBy("k_domain"), "domain")
+    suffix = sums(renamed.groupBy("k_suffix"), "suffix")
+    df = df.join(suffix, "k_suffix", "left").join(domain, "k_domain", "left").join(host.select("host", "y_host", "c_host"), "host", "left")
+    of = lambda kind, name: F.coalesce(f"{kind}_{name}", F.lit(0))
+    share = lambda a, b: F.floor((of("y", a) - of("y", b) + 1) / (of("c", a) - of("c", b) + 2) * 16).cast("int")
+    return df.withColumns({"f_suffix": share("suffix", "domain"), "f_domain": share("domain", "host")}).drop(*[f"{k}_{n}" for k in "yc" for n in ("host", "domain", "suffix")])
 
 
 def _leaf(tree: list) -> Column:
