@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
+import tempfile
+import uuid
 from dataclasses import dataclass
 from urllib.parse import quote, urlsplit
 
@@ -30,3 +35,19 @@ class Database:
         """Options of Spark's jdbc source and sink."""
         out = {"url": self.url, "dbtable": table, "user": self.user, "password": self.password}
         return {k: v for k, v in out.items() if v is not None}
+
+
+def scratch(spark) -> str:
+    """A new path in the folder that all executors share, spark.checkpoint.dir.
+
+    Without that setting only a session in one process gets a folder, which goes with it; a
+    cluster is refused, as its executors share no local folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="folioforge-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        base = f"file://{own}"
+    return f"{base}/{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,26 @@ def missing(truth: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return truth.join(seen.select(key).distinct(), key, "left_anti")
 
 
+def with_truth(rows: DataFrame, truth: DataFrame, key: str) -> DataFrame:
+    """Predicted rows with their truth (null: none), and the truth's keys that no row has; state tells them apart."""
+    found = rows.join(truth, key, "left").withColumn("state", F.lit("found"))
+    return found.unionByName(missing(truth, rows, key).withColumn("state", F.lit("missing")), allowMissingColumns=True)
+
+
+class Counters:
+    """Counts of conditions over the rows of a DataFrame, taken while another action runs over them."""
+
+    def __init__(self, **conditions: str) -> None:
+        self.conditions, self._seen = conditions, Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, F.count("*").alias("rows"), *[F.count_if(F.expr(c)).alias(n) for n, c in self.conditions.items()])
+
+    def values(self) -> dict[str, int]:
+        """After the action."""
+        return self._seen.get
+
+
 def report(metrics: DataFrame, overall: DataFrame) -> str:
     """Text of a few rows: one per label and the exact matches."""
     o = overall.first()

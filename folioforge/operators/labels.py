@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import rx
 
-_PLURAL = {"adolescent": "e", "enfant": "", "juvénile": "", "nourrisson": "", "nouveau-né": "", "prématuré": ""}
 KEYWORDS = ("pédiatrie", "pédiatrique", *(w + s for w in ("enfant", "nourrisson", "nouveau-né") for s in ("", "s")), "nouveaux-nés",
             *("prématuré" + s for s in ("", "s")), "infantile", *("adolescent" + s for s in ("", "s", "e", "es")), *("juvénile" + s for s in ("", "s")), "immature")
 _AGED, _BOUND = r"\b(?:âgée?s?|age|âge)\s*(?:de\s*)?", r"(?:moins\s*de\s*|[<>]=?\s*|inférieure?\s*à\s*|supérieure?\s*à\s*)?"

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import code_ancestors
+from folioforge.functions.text import code_ancestors, unanchor
 from folioforge.operators.evaluate import last_wins
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -32,6 +33,85 @@ def lookup_all(df: DataFrame, key: str, ids: str, table: DataFrame, id_: str, la
     listed = each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", label))), lambda x: x[label]).alias(into))
     return df.join(listed, key, "left").withColumn(into, F.coalesce(into, F.array().cast("array<string>")))
 
+def lookup_one(df: DataFrame, key: str, table: DataFrame, value: str, default: str = "") -> DataFrame:
+    """Adds value, looked up by key; the default where the key has none. table has one row per key."""
+    return df.join(table.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+
+def mapped_files(files: DataFrame, mapping: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
+    """filename, cis of files that the mapping knows and the allow-list has; others never get further."""
+    known = mapping.select("filename", "cis")
+    known = known if allowed is None else known.join(allowed.select("cis"), "cis", "left_semi")
+    return files.join(known, "filename")
+
+def numbered(df: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Adds batch: rows in order, `size` to a batch, counted from 0.
+
+    Rows are numbered within ranges of the order; a range's offset is the sum of the counts
+    before it, so no task holds more than its range.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    part = ranged.withColumn("_part", F.shiftright("_id", 33))
+    counts = part.groupBy("_part").count()
+    before = F.coalesce(F.sum("count").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row per partition
+    at = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before")
+    return part.join(F.broadcast(counts.select("_part", before.alias("_before"))), "_part").withColumn("batch", F.floor(at / size)).select(*df.columns, "batch")
+
+def specialite_docs(groups: DataFrame, substances: DataFrame, pathologies: DataFrame, labels: DataFrame) -> DataFrame:
+    """One document per entry of a group: cis_code, spec_name, substances, pathologies, atc_labels.
+
+    groups: specialites (arrays of a code and a name), subs_ids, pathos_codes, atc5_code; the other
+    tables: code, label (labels: any number per code). Ids are trimmed; unknown ones are left out;
+    of a code that several groups list, the entry of the greatest group by value stays.
+    """
+    trimmed = lambda c: F.transform(c, lambda x: F.trim(x))
+    key = groups.select(F.sha1(F.to_json(F.struct("*"))).alias("_group"), "specialites", trimmed("subs_ids").alias("subs_ids"), trimmed("pathos_codes").alias("pathos_codes"), "atc5_code").dropDuplicates(["_group"])
+    clean = lambda t: t.select(F.trim(F.col("code").cast("string")).alias("code"), "label")
+    out = lookup_all(key, "_group", "subs_ids", clean(substances), "code", "label", "substances")
+    out = lookup_all(out, "_group", "pathos_codes", clean(pathologies), "code", "label", "pathologies")
+    coded = code_labels(key.filter("atc5_code <> ''").select("_group", "atc5_code"), "_group", "atc5_code", labels.select("code", "label"))
+    out = out.join(coded, "_group", "left")
+    each = out.select("_group", F.explode("specialites").alias("s"), "substances", "pathologies", F.coalesce("code_labels", F.array().cast("array<string>")).alias("atc_labels"))
+    docs = each.select("_group", F.try_element_at("s", F.lit(1)).alias("cis_code"), F.try_element_at("s", F.lit(2)).alias("spec_name"), "substances", "pathologies", "atc_labels")
+    return last_wins(docs.filter("cis_code is not null"), ["cis_code"], ["_group"]).drop("_group")
+
+META = ("DateNotif", "AmmAnnexeTitre")
+
+def import_rows(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(main, content, rejects) of flat nodes, for a keyed load.
+
+    main: code_cis, title, date_notif (the last top-level block of its type wins; empty: null),
+    children; content: code_cis, id, parent_id, pos, type, content, anchor, html (named anchors
+    removed), children. Ids follow from the record and the path, so that a record loads the
+    same twice. Records without a code count as imported and give no row; rejects: cis,
+    filename of records whose code is no whole number.
+    """
+    named = nodes.filter("cis <> ''").withColumn("code_cis", F.expr("try_cast(cis as int)"))
+    rejects = named.filter("code_cis is null").select("cis", "filename").distinct()
+    good = named.filter("code_cis is not null")
+    first = F.nullif(F.try_element_at("content", F.lit(1)), F.lit(""))
+    top = good.filter("depth = 0")
+    last = lambda kind: F.max_by(F.when(F.col("type") == kind, first), F.when(F.col("type") == kind, F.col("path")))
+    head = top.groupBy("code_cis").agg(last("AmmAnnexeTitre").alias("title"), last("DateNotif").alias("date_notif"))
+    filled = (F.size("content") > 0) & (F.array_join("content", "") != "") | F.col("has_children")
+    meta = F.coalesce(F.col("type").isin(*META), F.lit(False))
+    kept = good.filter(((F.col("depth") > 0) & (filled | (F.coalesce("text", F.lit("")) != ""))) | ((F.col("depth") == 0) & ~meta & filled))
+    # a block goes with any block above it that is left out
+    names = kept.select("code_cis", "path")
+    up = F.expr("transform(sequence(1, size(split(path, '[.]'))), n -> array_join(slice(split(path, '[.]'), 1, n), '.'))")
+    whole = kept.select("code_cis", "path", "depth", F.explode(up).alias("above")).join(names.withColumnRenamed("path", "above"), ["code_cis", "above"]).groupBy("code_cis", "path", "depth").count().filter("count = depth + 1").select("code_cis", "path")
+    node_id = lambda path: F.xxhash64("code_cis", path)
+    rows = kept.join(whole, ["code_cis", "path"]).select("code_cis", node_id("path").alias("id"), F.when(F.col("depth") > 0, node_id("parent")).alias("parent_id"), "path", "pos", "type", "content", "anchor", unanchor(F.col("html")).alias("html"))
+    content = with_children(rows, "code_cis", "id", "parent_id")
+    roots = rows.filter("parent_id is null").groupBy("code_cis").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("children"))
+    return head.join(roots, "code_cis", "left"), content, rejects
+
+def staged(df: DataFrame, kinds: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a staged table of texts: the columns in kinds, cast, empty texts as null."""
+    return typed(df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in kinds]), {c: k for c, k in kinds.items() if k != "string"})
+
+#: The presentations table's columns; the staging file has one more before them.
+PRESENTATIONS = {"numpresentation": "int", "codecip13": "string", "nom_presentation": "string", "numelement": "int", "nomelement": "string", "recipient": "string", "numrecipient": "int", "nbrrecipient": "int", "qtecontenance": "double", "codeunitecontenance": "string", "unitecontenance": "string", "codecaraccomplrecip": "string", "numordreedit": "int", "caraccomplrecip": "string", "numdispositif": "int", "codenaturedispositif": "string", "dispositif": "string"}
+
 def code_labels(df: DataFrame, key: str, code: str, labels: DataFrame) -> DataFrame:
     """key, label list: a code's ancestors, shortest first, each followed by its labels; labels: code, label."""
     up = df.select(key, F.posexplode(code_ancestors(F.col(code))).alias("pos", "code")).join(labels, "code", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,13 +70,15 @@ def nearest_all(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "
 def terms(df: DataFrame, outer: str, inner: str, size: int, key: str, hits: int = 5) -> DataFrame:
     """Counts by outer and inner term, the `size` most frequent inner ones of each outer one, and their first keys.
 
-    Keys are ranked before they are gathered, so a hot term gathers `hits` keys only.
+    Counts combine before they are shuffled. Keys are ranked behind a filter on the rank, which
+    the engine applies before and after the shuffle, so a hot term sends `hits` keys a task.
     """
-    ranked = df.withColumn("_r", F.row_number().over(W.partitionBy(outer, inner).orderBy(key)))
-    first = F.array_sort(F.collect_list(F.when(F.col("_r") <= hits, F.col(key))))
-    counted = ranked.groupBy(outer, inner).agg(F.count("*").alias("n"), F.array_join(first.cast("array<string>"), ",").alias("top_ids"))
+    counted = df.groupBy(outer, inner).agg(F.count("*").alias("n"))
     order = W.partitionBy(outer).orderBy(F.col("n").desc(), inner)
-    return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
+    best = counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
+    ranked = df.select(outer, inner, key).withColumn("_r", F.row_number().over(W.partitionBy(outer, inner).orderBy(key))).filter(F.col("_r") <= hits)
+    first = ranked.groupBy(F.col(outer).alias("_o"), F.col(inner).alias("_i")).agg(F.array_join(F.array_sort(F.collect_list(key)).cast("array<string>"), ",").alias("top_ids"))
+    return best.join(first, F.col(outer).eqNullSafe(F.col("_o")) & F.col(inner).eqNullSafe(F.col("_i"))).drop("_o", "_i")
 
 
 def postings(docs: DataFrame, key: str, text: str, analyse: Callable[[Column], Column] = analyse_french) -> DataFrame:
@@ -105,20 +108,22 @@ def hashing_embedder(texts: list[str], size: int = 1024) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def embed(chunks: DataFrame, embedder: Callable[[list[str]], np.ndarray] = hashing_embedder, batch: int = 64, retries: int = 4) -> DataFrame:
-    """Adds embedding, `batch` texts a call, each call tried up to `retries` times."""
+def embed(chunks: DataFrame, embedder: Callable[[list[str]], np.ndarray] = hashing_embedder, batch: int = 64, retries: int = 4, retry_on: tuple = (OSError,), sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Adds embedding, `batch` texts a call; after an error of a kind in retry_on (time-outs and refused
+    connections are OSErrors) a call is made again after 1, 2, 4, ... 16 seconds, `retries` times in all."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for at in range(0, len(part), batch):
                 some = part.iloc[at : at + batch]
-                for left in range(retries - 1, -1, -1):
+                for turn in range(retries):
                     try:
                         v = embedder(some["embed_text"].tolist())
                         break
-                    except Exception:
-                        if not left:
+                    except retry_on:
+                        if turn == retries - 1:
                             raise
+                        sleep(min(16, 2**turn))
                 yield some.assign(embedding=list(map(list, v)))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema) + ", embedding array<float>"
@@ -135,3 +140,25 @@ def cache_hits(chunks: DataFrame, cache: DataFrame) -> DataFrame:
     both = now.join(old, ["key", "id"], "full_outer")
     same = F.bool_and(F.coalesce(F.col("hash_now") == F.col("hash_then"), F.lit(False)))
     return both.groupBy("key").agg((same & (F.count("hash_now") > 0)).alias("valid"))
+
+
+def content_hash(record: Column) -> Column:
+    """Hash of a record's text, as it is: equal texts, equal hashes."""
+    return F.sha1(record.cast("binary"))
+
+
+def save_cache(embedded: DataFrame, path: str, buckets: int = 64) -> None:
+    """key, content_hash, id, embedding as files by bucket of the key."""
+    rows = embedded.select("key", "content_hash", "id", "embedding", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    rows.write.mode("overwrite").partitionBy("bucket").option("compression", "gzip").parquet(path)
+
+
+def embed_cached(chunks: DataFrame, cache: DataFrame | None, **options) -> DataFrame:
+    """chunks (key, content_hash, id, embed_text, ...) with embedding and cached: keys that the cache
+    serves as a whole take theirs from it, all chunks of the others are embedded again."""
+    if cache is None:
+        return embed(chunks, **options).withColumn("cached", F.lit(False))
+    valid = cache_hits(chunks, cache).filter("valid").select("key")
+    known = chunks.join(valid, "key", "left_semi").join(cache.select("key", "id", "embedding"), ["key", "id"])
+    rest = embed(chunks.join(valid, "key", "left_anti"), **options)
+    return known.withColumn("cached", F.lit(True)).unionByName(rest.withColumn("cached", F.lit(False)))

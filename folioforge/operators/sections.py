@@ -12,32 +12,85 @@ from pyspark.sql import types as T
 
 from folioforge.functions.text import chunk_id, embed_text, node_text, strip_u
 from folioforge.operators.labels import HEADINGS
+from folioforge.operators.load import lookup_one
 
 SKIPPED = ("AmmAnnexeTitre", "DateNotif")
 BANNED_SECTIONS, BANNED_CHUNKS = ("Ann3bSomm",), ("Ann3bEmballage",)
 LEVEL2, HEADERS = "AmmAnnexeTitre2", ("AmmCorpsTexteGras", "AmmAnnexeTitre3")
 
 
-def _table(prefix: str, text: str) -> dict[str, str]:
-    return {k: prefix + v for v, _, k in (x.partition("<") for x in text.split())}
-
-
-ALIASES = {"Rcp" + k: "Rcp" + v for v, _, k in (x.partition("<") for x in "CompoQualiQuanti<CompoQualitQuanti Contreindications<ContreIndic FertGrossAllait<GrossAllait InteractionsMed<Interactions NumAutor<Presentation PropPharmacocinetiques<PropPharmacocinetique PropPharmacodynamiques<PropPharmacodynamie PropPharmacologiques<PropPharmacologie".split())}
-#: Anchors by section number, written as anchor<number, by anchor.
-RCP_NUMBERS = _table("Rcp", "CompoQualiQuanti<2 Conduite<4.7 Contreindications<4.3 DateRevision<10 Denomination<1 DonneesCliniques<4 DonneesPharmaceutiques<6 Dosimetrie<11 DureeConservation<6.3 EffetsIndesirables<4.8 Emballage<6.5 FertGrossAllait<4.6 FormePharm<3 Incompatibilites<6.2 IndicTherap<4.1 InstPrepRadioph<12 InteractionsMed<4.5 ListeExcipients<6.1 MisesEnGarde<4.4 NumAutor<8 PosoAdmin<4.2 PrecConservation<6.4 PrecEmpl<6.6 PremiereAutorisation<9 PropPharmacocinetiques<5.2 PropPharmacodynamiques<5.1 PropPharmacologiques<5 SecuritePreclinique<5.3 Surdosage<4.9 TitulaireAmm<7")
-NOTICE_NUMBERS = _table("Ann3b", "CommentPrendre<3 Conservation<5 EffetsIndesirables<4 Emballage<6 InfoNecessaires<2 Quest" + "ceque<1")
+#: Vocabulary of the domain, by anchor of the published document templates.
+ALIASES = {
+    "RcpCompoQualitQuanti": "RcpCompoQualiQuanti",
+    "RcpContreIndic": "RcpContreindications",
+    "RcpGrossAllait": "RcpFertGrossAllait",
+    "RcpInteractions": "RcpInteractionsMed",
+    "RcpPresentation": "RcpNumAutor",
+    "RcpPropPharmacocinetique": "RcpPropPharmacocinetiques",
+    "RcpPropPharmacodynamie": "RcpPropPharmacodynamiques",
+    "RcpPropPharmacologie": "RcpPropPharmacologiques",
+}
+RCP_NUMBERS = {
+    "2": "RcpCompoQualiQuanti",
+    "4.7": "RcpConduite",
+    "4.3": "RcpContreindications",
+    "10": "RcpDateRevision",
+    "1": "RcpDenomination",
+    "4": "RcpDonneesCliniques",
+    "6": "RcpDonneesPharmaceutiques",
+    "11": "RcpDosimetrie",
+    "6.3": "RcpDureeConservation",
+    "4.8": "RcpEffetsIndesirables",
+    "6.5": "RcpEmballage",
+    "4.6": "RcpFertGrossAllait",
+    "3": "RcpFormePharm",
+    "6.2": "RcpIncompatibilites",
+    "4.1": "RcpIndicTherap",
+    "12": "RcpInstPrepRadioph",
+    "4.5": "RcpInteractionsMed",
+    "6.1": "RcpListeExcipients",
+    "4.4": "RcpMisesEnGarde",
+    "8": "RcpNumAutor",
+    "4.2": "RcpPosoAdmin",
+    "6.4": "RcpPrecConservation",
+    "6.6": "RcpPrecEmpl",
+    "9": "RcpPremiereAutorisation",
+    "5.2": "RcpPropPharmacocinetiques",
+    "5.1": "RcpPropPharmacodynamiques",
+    "5": "RcpPropPharmacologiques",
+    "5.3": "RcpSecuritePreclinique",
+    "4.9": "RcpSurdosage",
+    "7": "RcpTitulaireAmm",
+}
+NOTICE_NUMBERS = {
+    "3": "Ann3bCommentPrendre",
+    "5": "Ann3bConservation",
+    "4": "Ann3bEffetsIndesirables",
+    "6": "Ann3bEmballage",
+    "2": "Ann3bInfoNecessaires",
+    "1": "Ann3bQuestceque",
+}
 NOTICE_TITLES = {
-    t: "Ann3b" + a
-    for a, titles in {
-        "Sportifs": ["sportifs"], "Posologie": ["posologie"], "InstrucSurdosage": ["surdosage"], "Encadre": ["encadre"], "Conservation": ["conservation"],
-        "GrossAllait": ["grossesse et allaitement", "utilisation pendant la grossesse et l'allaitement"], "EffetsIndesirablesDesc": ["effets indesirables"],
-        "ContreIndic": ["contre-indications"], "IndicTherap": ["indications therapeutiques"], "ClassPharma": ["classe pharmacotherapeutique"], "Denomination": ["denomination du medicament"],
-        "ListeExcipientsNotoires": ["liste des excipients a effet notoire"], "InfoAvantPrise": ["liste des informations necessaires avant la prise du medicament"],
-        "Conduite": ["effets sur l'aptitude a conduire des vehicules ou a utiliser des machines"], "MisesEnGarde": ["precautions d'emploi ; mises en garde speciales"],
-        "IntPhyto": ["interactions avec les produits de phytotherapie ou therapies alternatives"], "InteractionsAliments": ["interactions avec les aliments et les boissons"], "Interactions": ["interactions avec d'autres medicaments"],
-    }.items()
-    for t in titles
-}
+    "classe pharmacotherapeutique": "Ann3bClassPharma",
+    "effets sur l'aptitude a conduire des vehicules ou a utiliser des machines": "Ann3bConduite",
+    "conservation": "Ann3bConservation",
+    "contre-indications": "Ann3bContreIndic",
+    "denomination du medicament": "Ann3bDenomination",
+    "effets indesirables": "Ann3bEffetsIndesirablesDesc",
+    "encadre": "Ann3bEncadre",
+    "grossesse et allaitement": "Ann3bGrossAllait",
+    "utilisation pendant la grossesse et l'allaitement": "Ann3bGrossAllait",
+    "indications therapeutiques": "Ann3bIndicTherap",
+    "liste des informations necessaires avant la prise du medicament": "Ann3bInfoAvantPrise",
+    "surdosage": "Ann3bInstrucSurdosage",
+    "interactions avec les produits de phytotherapie ou therapies alternatives": "Ann3bIntPhyto",
+    "interactions avec d'autres medicaments": "Ann3bInteractions",
+    "interactions avec les aliments et les boissons": "Ann3bInteractionsAliments",
+    "liste des excipients a effet notoire": "Ann3bListeExcipientsNotoires",
+    "precautions d'emploi ; mises en garde speciales": "Ann3bMisesEnGarde",
+    "posologie": "Ann3bPosologie",
+    "sportifs": "Ann3bSportifs",
+}
 
 
 def fold(text: str | None) -> str:
@@ -99,8 +152,8 @@ def section_docs(nodes: DataFrame, names: DataFrame, kind: str) -> DataFrame:
         heads = top.select(picked)
     heads = normalise_anchors(heads.withColumn("section_title", node_text(F.col("content"))), "anchor", "section_title", kind)
     heads = heads.filter(~F.col("norm_anchor").isin(*BANNED_SECTIONS)).join(subtree_text(nodes, heads), ["cis", "path"]).filter("text_content <> ''")
-    out = heads.join(names.select("cis", "name"), "cis", "left")
-    return out.select(F.concat_ws("_", "cis", "norm_anchor", F.lit(kind)).alias("id"), F.col("cis").alias("cis_code"), F.coalesce("name", F.lit("")).alias("spec_name"), F.lit(kind).alias("doc_type"), F.col("type").alias("section_type"), F.col("norm_anchor").alias("section_anchor"), "section_title", "text_content", "date_notif", "path")
+    out = lookup_one(heads, "cis", names, "name")
+    return out.select(F.concat_ws("_", "cis", "norm_anchor", F.lit(kind)).alias("id"), F.col("cis").alias("cis_code"), F.col("name").alias("spec_name"), F.lit(kind).alias("doc_type"), F.col("type").alias("section_type"), F.col("norm_anchor").alias("section_anchor"), "section_title", "text_content", "date_notif", "path")
 
 
 def notice_chunks(nodes: DataFrame) -> DataFrame:

@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from folioforge.config import scratch
 from folioforge.functions import text as tx
 from folioforge.operators import evaluate, labels, load, search
 from folioforge.sources import html as html_source
@@ -64,12 +64,6 @@ def since_fail_open(spark, sf):
     return jsonl.parsed_files(names, "name", "2024-01-15")
 
 
-@_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
-def allow_list_semi(spark, sf):
-    allowed = _t(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    return _t(spark, sf, "orders").select("o_orderkey", "o_custkey").join(allowed, "o_custkey", "left_semi")
-
-
 @_query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
 def missing_anti(spark, sf):
     return evaluate.missing(_t(spark, sf, "documents").select("doc_id", "lang"), _t(spark, sf, "labels"), "doc_id")
@@ -82,18 +76,6 @@ def filename_map_last_wins(spark, sf):
     return evaluate.last_wins(rows, ["l_orderkey"], ["l_linenumber", "l_partkey"]).select("l_orderkey", "p_name", "l_linenumber")
 
 
-@_query("SELECT c_custkey, coalesce(max(o_orderpriority), '') AS priority FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
-def lookup_default(spark, sf):
-    top = _t(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("p"))
-    return _t(spark, sf, "customer").select("c_custkey").join(top, "c_custkey", "left").select("c_custkey", F.coalesce("p", F.lit("")).alias("priority"))
-
-
-@_query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events WHERE json_valid(props)")
-def json_props(spark, sf):
-    v = F.try_parse_json("props")
-    return _t(spark, sf, "events").filter(v.isNotNull()).select("event_id", F.try_variant_get(v, "$.k", "long").alias("k"))
-
-
 @_query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey::VARCHAR AS n_regionkey FROM nation")
 def sql_dump_rows(spark, sf):
     quoted = F.concat(F.lit("("), F.col("n_nationkey").cast("string"), F.lit(", N'"), F.replace("n_name", F.lit("'"), F.lit("''")), F.lit("', "), F.col("n_regionkey").cast("string"), F.lit(")"))
@@ -101,14 +83,6 @@ def sql_dump_rows(spark, sf):
     return sqldump.as_columns(sqldump.insert_rows(dump), ["n_nationkey", "n_name", "n_regionkey"])
 
 
-@_query("SELECT r_regionkey::VARCHAR AS r_regionkey, r_name FROM region")
-def csv_arity_filter(spark, sf):
-    """Lines of two declared fields, among lines of one and three."""
-    line = F.concat_ws("|", F.col("r_regionkey").cast("string"), "r_name")
-    lines = _t(spark, sf, "region").select(F.explode(F.array(line, F.col("r_name"), F.concat(line, F.lit("|x")))).alias("value"))
-    return lines.filter(F.size(F.split("value", r"\|")) == 2).select(F.from_csv("value", "r_regionkey string, r_name string", {"sep": "|"}).alias("r")).select("r.*")
-
-
 # ------------------------------------------------------------------ scalar functions
 
 
@@ -117,16 +91,9 @@ def normalise_text(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", F.md5(tx.normalise_text(F.concat(F.lit("a’b‘c‑d–e≥f≤"), "text")).cast("binary")).alias("h"))
 
 
-@_query("""SELECT doc_id, translate(left(text, 40), '0123456789abcdefghijklmnoprstuvwxyzABDEGHIJKLMNOPRTUVW+-=()', '⁰¹²³⁴⁵⁶⁷⁸⁹ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻᴬᴮᴰᴱᴳᴴᴵᴶᴷᴸᴹᴺᴼᴾᴿᵀᵁⱽᵂ⁺⁻⁼⁽⁾') AS sup,
-translate(left(text, 40), '0123456789aehijklmnoprstuvx+-=()', '₀₁₂₃₄₅₆₇₈₉ₐₑₕᵢⱼₖₗₘₙₒₚᵣₛₜᵤᵥₓ₊₋₌₍₎') AS sub FROM documents""")
-def sup_sub(spark, sf):
-    head = F.left(F.col("text"), F.lit(40))
-    return _t(spark, sf, "documents").select("doc_id", tx.superscript(head).alias("sup"), tx.subscript(head).alias("sub"))
-
-
 @_query("""SELECT doc_id, md5(translate(text, '0123456789abcdefghijklmnoprstuvwxyzABDEGHIJKLMNOPRTUVW+-=()', '⁰¹²³⁴⁵⁶⁷⁸⁹ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻᴬᴮᴰᴱᴳᴴᴵᴶᴷᴸᴹᴺᴼᴾᴿᵀᵁⱽᵂ⁺⁻⁼⁽⁾')) AS sup,
 md5(translate(text, '0123456789aehijklmnoprstuvx+-=()', '₀₁₂₃₄₅₆₇₈₉ₐₑₕᵢⱼₖₗₘₙₒₚᵣₛₜᵤᵥₓ₊₋₌₍₎')) AS sub FROM documents""")
-def sup_sub_whole(spark, sf):
+def sup_sub(spark, sf):
     text = F.col("text")
     return _t(spark, sf, "documents").select("doc_id", F.md5(tx.superscript(text).cast("binary")).alias("sup"), F.md5(tx.subscript(text).cast("binary")).alias("sub"))
 
@@ -164,60 +131,6 @@ def _lines(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-@_query("""WITH m AS (SELECT user_id, event_id, event_type, CASE WHEN lag(event_type) OVER w = event_type THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
-r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM m)
-SELECT user_id, run::BIGINT AS run, min(event_type) AS event_type, count(*) AS n, min(event_id) AS first_id FROM r GROUP BY user_id, run""")
-def bullet_runs(spark, sf):
-    w = W.partitionBy("user_id").orderBy("event_id")
-    e = _t(spark, sf, "events").select("user_id", "event_id", "event_type")
-    e = e.withColumn("new", F.when(F.lag("event_type").over(w) == F.col("event_type"), 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
-    return e.groupBy("user_id", "run").agg(F.min("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_id"))
-
-
-@_query("""SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'signup' THEN props END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id), '') AS carried FROM events""")
-def carry_forward(spark, sf):
-    w = W.partitionBy("user_id").orderBy("event_id")
-    last = F.last(F.when(F.col("event_type") == "signup", F.col("props")), True).over(w)
-    return _t(spark, sf, "events").select("event_id", F.coalesce(last, F.lit("")).alias("carried"))
-
-
-@_query("WITH " + _LINES_SQL + """, a AS (SELECT doc_id, pos, line, max(CASE WHEN pos % 5 = 0 THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos) AS t1 FROM lines)
-SELECT doc_id, pos, t1, max(CASE WHEN pos % 3 = 0 AND pos % 5 <> 0 THEN pos END) OVER (PARTITION BY doc_id, t1 ORDER BY pos) AS t2, md5(line) AS h FROM a""")
-def section_tree(spark, sf):
-    n = _lines(spark, sf)
-    n = n.withColumn("t1", F.last(F.when(F.col("pos") % 5 == 0, F.col("pos")), True).over(W.partitionBy("doc_id").orderBy("pos")))
-    two = F.when((F.col("pos") % 3 == 0) & (F.col("pos") % 5 != 0), F.col("pos"))
-    n = n.withColumn("t2", F.last(two, True).over(W.partitionBy("doc_id", "t1").orderBy("pos")))
-    return n.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("t1").cast("long").alias("t1"), F.col("t2").cast("long").alias("t2"), F.md5(F.col("line").cast("binary")).alias("h"))
-
-
-_CHUNK_SQL = "WITH " + _LINES_SQL + """, n AS (SELECT *, sum(CASE WHEN pos % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS chunk FROM lines),
-c AS (SELECT doc_id, chunk::BIGINT AS chunk, max(CASE WHEN pos % 3 = 0 THEN line END) AS sub, coalesce(string_agg(CASE WHEN pos % 3 <> 0 THEN line END, ' ' ORDER BY pos), '') AS body FROM n GROUP BY doc_id, chunk)
-SELECT doc_id, chunk, """
-
-
-def _chunks(spark, sf):
-    n = _lines(spark, sf).withColumn("chunk", F.sum((F.col("pos") % 3 == 0).cast("int")).over(W.partitionBy("doc_id").orderBy("pos")))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("pos") % 3 != 0, F.struct("pos", "line")))), lambda x: x["line"]), " ")
-    return n.groupBy("doc_id", "chunk").agg(F.max(F.when(F.col("pos") % 3 == 0, F.col("line"))).alias("sub"), body.alias("body"))
-
-
-@_query(_CHUNK_SQL + "md5(sub) AS sub_hash, md5(body) AS body_hash FROM c")
-def flat_chunks(spark, sf):
-    return _chunks(spark, sf).select("doc_id", "chunk", F.md5(F.col("sub").cast("binary")).alias("sub_hash"), F.md5(F.col("body").cast("binary")).alias("body_hash"))
-
-
-@_query(_CHUNK_SQL + "doc_id || '_s_' || left(md5(CASE WHEN sub <> '' THEN 'T > ' || sub || ': ' || body ELSE 'T: ' || body END), 8) AS id FROM c")
-def chunk_ids(spark, sf):
-    embedded = tx.embed_text(F.lit("T"), F.col("sub"), F.col("body"))
-    return _chunks(spark, sf).select("doc_id", "chunk", tx.chunk_id(F.col("doc_id").cast("string"), F.lit("s"), embedded).alias("id"))
-
-
-@_query("WITH " + _LINES_SQL + " SELECT doc_id, min(pos) AS pos, md5(arg_min(line, pos)) AS h FROM lines WHERE length(line) > 60 GROUP BY doc_id")
-def first_match_section(spark, sf):
-    return _lines(spark, sf).filter(F.length("line") > 60).groupBy("doc_id").agg(F.min("pos").cast("long").alias("pos"), F.md5(F.min_by("line", "pos").cast("binary")).alias("h"))
-
-
 @_query("SELECT conv_id || '_' || role AS id, max(turn) AS turn, md5(arg_max(text, turn)) AS h FROM conversations GROUP BY 1")
 def section_docs_dedupe(spark, sf):
     c = _t(spark, sf, "conversations").select(F.concat_ws("_", F.col("conv_id").cast("string"), "role").alias("id"), "turn", "text")
@@ -256,6 +169,12 @@ def pages_blocks(spark, sf):
 
 _WORDS = ("que", "pour", "mention", "tion", "zz")
 _RULES = labels.Rules(keywords=_WORDS, ages=(r"[0-9]+ ?[a-z]+",), negatives=("ment", "eau", "ing"), adult=("ver",), tie_break={"AB": "AB", "AC": "AC", "BC": "B", "ABC": "AB"})
+#: From p (doc_id, lower-cased main texts m, contra texts x, the joined main ones j) to r (doc_id, sig, final).
+LABELS_TAIL = """k AS (SELECT *, [s FOR s IN m IF regexp_matches(s, 'que|pour|mention|tion|zz|[0-9]+ ?[a-z]+')] AS km, [s FOR s IN x IF regexp_matches(s, 'que|pour|mention|tion|zz|[0-9]+ ?[a-z]+')] AS kx FROM p),
+f AS (SELECT doc_id, len([s FOR s IN km IF NOT regexp_matches(s, 'ment|eau|ing')]) > 0 AS a0, len(kx) > 0 AS b0,
+len([s FOR s IN km IF regexp_matches(s, 'ment|eau|ing')]) > 0 OR len(km) = 0 OR contains(j, 'ver') AS c0 FROM k),
+s AS (SELECT doc_id, CASE WHEN a0 THEN 'A' ELSE '' END || CASE WHEN b0 THEN 'B' ELSE '' END || CASE WHEN c0 THEN 'C' ELSE '' END AS sig FROM f),
+r AS (SELECT doc_id, sig, CASE sig WHEN 'BC' THEN 'B' WHEN 'ABC' THEN 'AB' ELSE sig END AS final FROM s)"""
 _KW_SQL = "list_distinct(list_concat([k FOR k IN ['que', 'pour', 'mention', 'tion', 'zz'] IF contains(low, k)], regexp_extract_all(low, '[0-9]+ ?[a-z]+')))"
 
 
@@ -269,24 +188,15 @@ def negative_first(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", labels.first_negative(F.col("text"), _RULES).alias("negative"))
 
 
-_LABEL_SQL = """t AS (SELECT doc_id, string_split(lower(text), chr(10)) AS a FROM documents),
-p AS (SELECT doc_id, a[1:2] AS m, a[3:3] AS x, array_to_string(a[1:2], ' ') AS j FROM t),
-k AS (SELECT *, [s FOR s IN m IF regexp_matches(s, 'que|pour|mention|tion|zz|[0-9]+ ?[a-z]+')] AS km, [s FOR s IN x IF regexp_matches(s, 'que|pour|mention|tion|zz|[0-9]+ ?[a-z]+')] AS kx FROM p),
-f AS (SELECT doc_id, len([s FOR s IN km IF NOT regexp_matches(s, 'ment|eau|ing')]) > 0 AS a0, len(kx) > 0 AS b0,
-len([s FOR s IN km IF regexp_matches(s, 'ment|eau|ing')]) > 0 OR len(km) = 0 OR contains(j, 'ver') AS c0 FROM k),
-s AS (SELECT doc_id, CASE WHEN a0 THEN 'A' ELSE '' END || CASE WHEN b0 THEN 'B' ELSE '' END || CASE WHEN c0 THEN 'C' ELSE '' END AS sig FROM f),
-r AS (SELECT doc_id, sig, CASE sig WHEN 'BC' THEN 'B' WHEN 'ABC' THEN 'AB' ELSE sig END AS final FROM s)"""
-
-
 #: Every line of a text: the third of each three is contra, the others are main.
-_WHOLE_LABEL_SQL = _LABEL_SQL.replace("a[1:2] AS m, a[3:3] AS x, array_to_string(a[1:2], ' ') AS j", "[s FOR s, i IN a IF i % 3 <> 0] AS m, [s FOR s, i IN a IF i % 3 = 0] AS x, array_to_string([s FOR s, i IN a IF i % 3 <> 0], ' ') AS j")
+_LABEL_SQL = """t AS (SELECT doc_id, string_split(lower(text), chr(10)) AS a FROM documents),
+p AS (SELECT doc_id, [s FOR s, i IN a IF i % 3 <> 0] AS m, [s FOR s, i IN a IF i % 3 = 0] AS x, array_to_string([s FOR s, i IN a IF i % 3 <> 0], ' ') AS j FROM t),
+""" + LABELS_TAIL
 
 
-def _labelled(spark, sf, whole=False):
+def _labelled(spark, sf):
     lines = F.split("text", "\n")
-    main, contra = F.slice(lines, 1, 2), F.slice(lines, 3, 1)
-    if whole:
-        main, contra = F.filter(lines, lambda _, i: i % 3 != 2), F.filter(lines, lambda _, i: i % 3 == 2)
+    main, contra = F.filter(lines, lambda _, i: i % 3 != 2), F.filter(lines, lambda _, i: i % 3 == 2)
     docs = _t(spark, sf, "documents").select("doc_id", main.alias("texts_main"), contra.alias("texts_contra"), F.lit(None).cast("string").alias("code"))
     return labels.classify(docs, rules=_RULES)
 
@@ -296,98 +206,54 @@ def label_rules(spark, sf):
     return _labelled(spark, sf).select("doc_id", "label_a", "label_b", "label_c")
 
 
-@_query("WITH " + _WHOLE_LABEL_SQL + " SELECT doc_id, contains(final, 'A') AS label_a, contains(final, 'B') AS label_b, contains(final, 'C') AS label_c FROM r")
-def label_rules_whole(spark, sf):
-    return _labelled(spark, sf, True).select("doc_id", "label_a", "label_b", "label_c")
-
-
 @_query("WITH " + _LABEL_SQL + " SELECT sig, final, count(*) AS n FROM r GROUP BY sig, final")
-def tie_break(spark, sf, whole=False):
+def tie_break(spark, sf):
     sig = F.concat(*[F.when(F.size(f"reasons_{x}") > 0, x.upper()).otherwise("") for x in "abc"])
-    return _labelled(spark, sf, whole).select(sig.alias("sig"), labels.break_tie(sig, _RULES).alias("final")).groupBy("sig", "final").agg(F.count("*").alias("n"))
-
-
-@_query("WITH " + _WHOLE_LABEL_SQL + " SELECT sig, final, count(*) AS n FROM r GROUP BY sig, final")
-def tie_break_whole(spark, sf):
-    return tie_break(spark, sf, True)
+    return _labelled(spark, sf).select(sig.alias("sig"), labels.break_tie(sig, _RULES).alias("final")).groupBy("sig", "final").agg(F.count("*").alias("n"))
 
 
-_PAIR_TAIL = """, q AS (SELECT contains(final, 'A') AS pa, quality = 1 AS ta, contains(final, 'C') AS pc, toxic = 1 AS tc FROM r JOIN labels USING (doc_id)),
+_PAIR_SQL = "WITH " + _LABEL_SQL + """, q AS (SELECT contains(final, 'A') AS pa, quality = 1 AS ta, contains(final, 'C') AS pc, toxic = 1 AS tc FROM r JOIN labels USING (doc_id)),
 u AS (SELECT 'a' AS label, pa AS p, ta AS t FROM q UNION ALL SELECT 'c', pc, tc FROM q), """
-_PAIR_SQL, _WHOLE_PAIR_SQL = "WITH " + _LABEL_SQL + _PAIR_TAIL, "WITH " + _WHOLE_LABEL_SQL + _PAIR_TAIL
 
 
-def _pairs(spark, sf, whole=False):
+def _pairs(spark, sf):
     truth = _t(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("true_a"), (F.col("toxic") == 1).alias("true_c"))
-    return _labelled(spark, sf, whole).select("doc_id", F.col("label_a").alias("pred_a"), F.col("label_c").alias("pred_c")).join(truth, "doc_id")
+    return _labelled(spark, sf).select("doc_id", F.col("label_a").alias("pred_a"), F.col("label_c").alias("pred_c")).join(truth, "doc_id")
 
 
-_METRICS_SQL = """c AS (SELECT label, count(*) FILTER (p AND t) AS tp, count(*) FILTER (p AND NOT t) AS fp, count(*) FILTER (NOT p AND t) AS fn, count(*) FILTER (NOT p AND NOT t) AS tn FROM u GROUP BY label)
+@_query(_PAIR_SQL + """c AS (SELECT label, count(*) FILTER (p AND t) AS tp, count(*) FILTER (p AND NOT t) AS fp, count(*) FILTER (NOT p AND t) AS fn, count(*) FILTER (NOT p AND NOT t) AS tn FROM u GROUP BY label)
 SELECT label, tp, fp, fn, tn, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
-round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0), 6) AS accuracy FROM c"""
-
-
-@_query(_PAIR_SQL + _METRICS_SQL)
-def confusion_metrics(spark, sf, whole=False):
-    m = evaluate.confusion(_pairs(spark, sf, whole), ["a", "c"])
+round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0), 6) AS accuracy FROM c""")
+def confusion_metrics(spark, sf):
+    m = evaluate.confusion(_pairs(spark, sf), ["a", "c"])
     return m.select("label", "tp", "fp", "fn", "tn", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f1", "accuracy")])
 
 
-@_query(_WHOLE_PAIR_SQL + _METRICS_SQL)
-def confusion_metrics_whole(spark, sf):
-    return confusion_metrics(spark, sf, True)
-
-
-_EXACT_SQL = "c AS (SELECT count(*) AS total, count(*) FILTER (pa = ta AND pc = tc) AS exact FROM q) SELECT total, exact, round(exact / total, 6) AS rate FROM c"
-
-
-@_query(_PAIR_SQL + _EXACT_SQL)
-def exact_match(spark, sf, whole=False):
-    return evaluate.exact_match(_pairs(spark, sf, whole), ["a", "c"]).withColumn("rate", F.round("rate", 6))
-
-
-@_query(_WHOLE_PAIR_SQL + _EXACT_SQL)
-def exact_match_whole(spark, sf):
-    return exact_match(spark, sf, True)
+@_query(_PAIR_SQL + "c AS (SELECT count(*) AS total, count(*) FILTER (pa = ta AND pc = tc) AS exact FROM q) SELECT total, exact, round(exact / total, 6) AS rate FROM c")
+def exact_match(spark, sf):
+    return evaluate.exact_match(_pairs(spark, sf), ["a", "c"]).withColumn("rate", F.round("rate", 6))
 
 
 @_query("WITH " + _LABEL_SQL + """, l AS (SELECT doc_id, quality::VARCHAR AS truth FROM labels)
-SELECT r.doc_id, contains(final, 'A')::INTEGER AS label_a, coalesce(truth, '') AS truth, 'found' AS state FROM r LEFT JOIN l USING (doc_id) WHERE r.doc_id % 3 <> 0
-UNION ALL SELECT doc_id, NULL, truth, 'missing' FROM l WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0)""")
-def prediction_report(spark, sf):
-    truth = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("truth"))
-    found = _labelled(spark, sf).filter("doc_id % 3 <> 0").select("doc_id", F.col("label_a").cast("int").alias("label_a"))
-    rows = found.join(truth, "doc_id", "left").select("doc_id", "label_a", F.coalesce("truth", F.lit("")).alias("truth"), F.lit("found").alias("state"))
-    return rows.unionByName(evaluate.missing(truth, found, "doc_id").withColumn("state", F.lit("missing")), allowMissingColumns=True)
-
-
-@_query("WITH " + _WHOLE_LABEL_SQL + """, l AS (SELECT doc_id, quality::VARCHAR AS truth FROM labels)
-SELECT r.doc_id, contains(final, 'A')::INTEGER AS label_a, coalesce(truth, '') AS truth, 'found' AS state FROM r LEFT JOIN l USING (doc_id)
+SELECT r.doc_id, contains(final, 'A')::INTEGER AS label_a, truth, 'found' AS state FROM r LEFT JOIN l USING (doc_id)
 UNION ALL SELECT doc_id, NULL, truth, 'missing' FROM l WHERE doc_id NOT IN (SELECT doc_id FROM documents)""")
-def prediction_report_whole(spark, sf):
+def prediction_report(spark, sf):
     truth = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("truth"))
-    found = _labelled(spark, sf, True).select("doc_id", F.col("label_a").cast("int").alias("label_a"))
-    rows = found.join(truth, "doc_id", "left").select("doc_id", "label_a", F.coalesce("truth", F.lit("")).alias("truth"), F.lit("found").alias("state"))
-    return rows.unionByName(evaluate.missing(truth, found, "doc_id").withColumn("state", F.lit("missing")), allowMissingColumns=True)
+    return evaluate.with_truth(_labelled(spark, sf).select("doc_id", F.col("label_a").cast("int").alias("label_a")), truth, "doc_id")
 
 
 # ----------------------------------------------------- lookups, search, loads, counts
 
 
-@_query("""SELECT o_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey), '') AS names FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey AND p_partkey % 2 = 0 GROUP BY o_orderkey""")
-def enrich_docs(spark, sf, whole=False):
+@_query("""SELECT o_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey), '') AS names FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY o_orderkey""")
+def enrich_docs(spark, sf):
     lines = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
     groups = _t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(lines.alias("ids"))
     docs = _t(spark, sf, "orders").select("o_orderkey").join(groups, "o_orderkey", "left")
-    parts = _t(spark, sf, "part").filter("true" if whole else "p_partkey % 2 = 0").select("p_partkey", "p_name")
+    parts = _t(spark, sf, "part").select("p_partkey", "p_name")
     return load.lookup_all(docs, "o_orderkey", "ids", parts, "p_partkey", "p_name", "names").select("o_orderkey", F.array_join("names", "|").alias("names"))
 
 
-@_query("""SELECT o_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey), '') AS names FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY o_orderkey""")
-def enrich_docs_whole(spark, sf):
-    return enrich_docs(spark, sf, True)
-
-
 @_query("""WITH u AS (SELECT n_nationkey AS code, n_name AS label FROM nation UNION ALL SELECT r_regionkey, r_name FROM region UNION ALL SELECT s_nationkey, s_name FROM supplier)
 SELECT code, string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM u WHERE code IS NOT NULL AND label IS NOT NULL GROUP BY code""")
 def label_sets_union(spark, sf):
@@ -403,16 +269,9 @@ def terms_top_hits(spark, sf):
     return search.terms(_t(spark, sf, "documents"), "lang", "source", 10, "doc_id").select("lang", "source", "n", "top_ids", "rank")
 
 
-@_query("""WITH q AS (SELECT embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT e FROM q)), 6) AS score FROM embeddings)
-SELECT vec_id, score FROM s ORDER BY score DESC, vec_id LIMIT 5""")
-def knn_top5(spark, sf):
-    v = _t(spark, sf, "embeddings")
-    return search.nearest(v, v.filter("vec_id = 0").first()["embedding"])
-
-
 @_query("""WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) SELECT query_id, vec_id, score, rank FROM r WHERE rank <= 5""")
-def knn_top5_whole(spark, sf):
+def knn_top5(spark, sf):
     v = _t(spark, sf, "embeddings")
     return search.nearest_all(v, v.filter("vec_id % 100 = 0"))
 
@@ -452,12 +311,11 @@ def posting_counts(spark, sf):
 @_query("SELECT event_id, arg_max(event_type, ts) AS event_type FROM events GROUP BY event_id")
 def stream_delta(spark, sf):
     """The events table through a file stream that takes what is there, upserted by key."""
-    import tempfile
-    import uuid
-
-    from folioforge.streaming.incremental import run_available, upsert_into
+    from folioforge.streaming.incremental import latest, run_available, upsert_into
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='folioforge-stream-')}"
-    at = f"{base}/{uuid.uuid4().hex}"
+    at = scratch(spark)
     run_available(spark, sf, _t(spark, sf, "events").schema.simpleString()[7:-1].replace(":", " "), f"{at}/state", upsert_into(f"{at}/out", ["event_id"], ["ts"]), pathGlobFilter="events.parquet")
-    return spark.read.parquet(f"{at}/out/v=0").select("event_id", "event_type")
+    return latest(spark, f"{at}/out").select("event_id", "event_type")
+
+
+from folioforge.plans import leaflets  # noqa: E402, F401  registers its queries

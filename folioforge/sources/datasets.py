@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import shutil
 from dataclasses import dataclass
+from urllib.request import urlopen
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.functions.text import decode_bytes
+
 _ENCODINGS = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1", "utf8": "UTF-8", "utf-8": "UTF-8"}
 
 
@@ -37,18 +42,48 @@ def catalogue(path: str) -> dict[str, Dataset]:
 
 def read_dataset(spark: SparkSession, d: Dataset, path: str) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of a landed file: rows have exactly the declared number of fields; the header is skipped."""
-    if d.encoding.lower() in ("cp1252", "windows-1252"):  # Spark's reader has no such name
-        from folioforge.functions.text import decode_bytes
-
-        text = spark.read.format("binaryFile").load(path).select(decode_bytes(F.col("content")).alias("t"))
-        lines = text.select(F.explode(F.split("t", r"\r?\n")).alias("value")).filter("value <> ''")
-        parsed = lines.select(F.from_csv("value", ", ".join(f"`{c}` string" for c in (*d.columns, "_more")), {"sep": d.delimiter, "quote": d.quote}).alias("r"), F.size(F.split("value", F.lit("\\" + d.delimiter))).alias("n"), "value")
-        good = F.col(f"r.`{d.columns[-1]}`").isNotNull() & F.col("r._more").isNull() & (F.col(f"r.`{d.columns[0]}`") != d.columns[0])
-        return parsed.filter(good).select(*[f"r.`{c}`" for c in d.columns]), parsed.filter(~F.coalesce(good, F.lit(False))).select("value")
+    encoding = _ENCODINGS.get(d.encoding.lower(), d.encoding)
+    if encoding in ("cp1252", "windows-1252"):  # Spark's reader has no such name: the file is laid down again as UTF-8
+        whole = spark.read.format("binaryFile").load(path).select(decode_bytes(F.col("content")).alias("value"))
+        path, encoding = f"{path}.utf8", "UTF-8"
+        whole.write.mode("overwrite").option("lineSep", "\n").text(path)
     schema = ", ".join(f"`{c}` string" for c in d.columns) + ", _bad string"
-    options = {"header": True, "sep": d.delimiter, "quote": d.quote, "escape": d.quote, "encoding": _ENCODINGS.get(d.encoding.lower(), d.encoding), "multiLine": True, "columnNameOfCorruptRecord": "_bad", "enforceSchema": True}
+    options = {"header": True, "sep": d.delimiter, "quote": d.quote, "escape": d.quote, "encoding": encoding, "multiLine": True, "columnNameOfCorruptRecord": "_bad", "enforceSchema": True}
     rows = spark.read.schema(schema).options(**options).csv(path)
-    return rows.filter("_bad is null").drop("_bad"), rows.filter("_bad is not null").withColumnRenamed("_bad", "value")
+    # the reader refuses queries of the reject column alone, such as its count: the filter reads another one
+    rejects = rows.filter(F.col("_bad").isNotNull() & (F.coalesce(F.length(d.columns[0]), F.lit(0)) >= 0)).withColumnRenamed("_bad", "value")
+    return rows.filter("_bad is null").drop("_bad"), rejects
+
+
+def land(d: Dataset, folder: str, opener=urlopen) -> str:
+    """Fetches a dataset's file to a landing folder; returns its path."""
+    path = f"{folder}/{d.id}.csv"
+    with opener(d.url) as response, open(path, "wb") as out:
+        shutil.copyfileobj(response, out)
+    return path
+
+
+def package(spark: SparkSession, path: str, skip: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The CSV resources of a tabular package (datapackage.json) by name, but for those to skip."""
+    base = path.rpartition("/")[0]
+    described = json.loads("\n".join(r[0] for r in spark.read.text(path).collect()))  # one small file
+    out = {}
+    for r in described["resources"]:
+        if r["name"] in skip:
+            continue
+        kinds = {"integer": "bigint", "number": "double", "boolean": "boolean", "date": "date"}
+        schema = ", ".join(f"`{f['name']}` {kinds.get(f.get('type'), 'string')}" for f in r["schema"]["fields"])
+        dialect = r.get("dialect", {})
+        out[r["name"]] = spark.read.schema(schema).options(header=True, sep=dialect.get("delimiter", ","), encoding=r.get("encoding", "UTF-8"), nullValue="", multiLine=True, escape='"').csv(f"{base}/{r['path']}")
+    return out
+
+
+def publish(tables: dict[str, DataFrame], database: str = "default", drop: tuple[str, ...] = ()) -> None:
+    """Drops older tables, then saves each DataFrame as a table of its name."""
+    for name in (*drop, *tables):
+        next(iter(tables.values())).sparkSession.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    for name, df in tables.items():
+        df.write.saveAsTable(f"`{database}`.`{name}`")
 
 
 def allow_list(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -7,6 +7,7 @@ windows over that order, so the tree is built by Spark. Tables come out as rows
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from html import escape
 from html.parser import HTMLParser
 
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 from folioforge.functions.text import normalise_text, rewrite_images, sub_py, sup_py
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: What a page's elements may come to, in times its own size.
+MOST = 64
 LEVEL1 = ("AmmAnnexeTitre1", "AmmNoticeTitre1")
 LEVEL2 = "AmmAnnexeTitre2"
 BULLETS = tuple(f"AmmListePuces{i}" for i in (1, 2, 3))
@@ -31,25 +34,46 @@ class Element:
     def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None) -> None:
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
-    def walk(self):
-        for c in self.children:
-            if isinstance(c, Element):
-                yield c
-                yield from c.walk()
+    def walk(self) -> Iterator[Element]:
+        """The elements below, in document order; pages may nest deeper than Python recurses."""
+        todo = [iter(self.children)]
+        while todo:
+            for c in todo[-1]:
+                if isinstance(c, Element):
+                    yield c
+                    todo.append(iter(c.children))
+                    break
+            else:
+                todo.pop()
+
+    def _fold(self, leaf: Callable[[str], str], close: Callable[[Element, str], str]) -> str:
+        """Strings from the leaves up: close(element, what its children gave)."""
+        todo: list[tuple[Element, Iterator, list[str]]] = [(self, iter(self.children), [])]
+        while True:
+            e, kids, parts = todo[-1]
+            for c in kids:
+                if isinstance(c, Element):
+                    todo.append((c, iter(c.children), []))
+                    break
+                parts.append(leaf(c))
+            else:
+                todo.pop()
+                done = close(e, "".join(parts))
+                if not todo:
+                    return done
+                todo[-1][2].append(done)
 
     def text(self) -> str:
         """Text below, sup and sub as Unicode characters; comments, scripts and styles have none."""
-        if self.tag in ("script", "style"):
-            return ""
-        out = "".join(c if isinstance(c, str) else c.text() for c in self.children)
-        return sup_py(out) if self.tag == "sup" else sub_py(out) if self.tag == "sub" else out
+        kinds = {"sup": sup_py, "sub": sub_py, "script": lambda _: "", "style": lambda _: ""}
+        return self._fold(str, lambda e, inner: kinds[e.tag](inner) if e.tag in kinds else inner)
 
     def html(self) -> str:
-        attrs = "".join(f' {k}="{escape(v or "", quote=True)}"' for k, v in self.attrs.items())
-        if self.tag in _VOID:
-            return f"<{self.tag}{attrs}/>"
-        inner = "".join(escape(c, quote=False) if isinstance(c, str) else c.html() for c in self.children)
-        return f"<{self.tag}{attrs}>{inner}</{self.tag}>"
+        def close(e: Element, inner: str) -> str:
+            attrs = "".join(f' {k}="{escape(v or "", quote=True)}"' for k, v in e.attrs.items())
+            return f"<{e.tag}{attrs}/>" if e.tag in _VOID else f"<{e.tag}{attrs}>{inner}</{e.tag}>"
+
+        return self._fold(lambda t: escape(t, quote=False), close)
 
     def classes(self) -> list[str]:
         return (self.attrs.get("class") or "").split()
@@ -132,9 +156,14 @@ _CELL = f"struct<part:string,`row`:int,col:int,tag:string,attributes:map<string,
 ELEMENTS = f"array<struct<pos:int,class:string,tag:string,text:string,html:string,anchor:string,styles:array<string>,in_table:boolean,cells:array<{_CELL}>>>"
 
 
-def elements(html: str | None) -> list[tuple]:
-    """Classed elements in document order; those inside a structured table are part of the table's cells."""
+def elements(html: str | None, most: int = MOST) -> list[tuple]:
+    """Classed elements in document order; those inside a structured table are part of the table's cells.
+
+    Each element holds all text below it, so nested ones repeat it: a page whose elements
+    come to more than `most` times its own size, and 64 MB, is refused.
+    """
     out, taken = [], set()
+    left = max(most * len(html or ""), 1 << 26)
     for e in parse(html).walk():
         names = e.classes()
         if not names or id(e) in taken:
@@ -143,23 +172,46 @@ def elements(html: str | None) -> list[tuple]:
         if structured:
             taken |= {id(x) for x in e.walk()}
         out.append((len(out), names[0], e.tag, e.text(), e.html(), e.anchor(), e.styles(), e.inside("table"), _cells(e) if structured else []))
+        left -= len(out[-1][4])
+        if left < 0:
+            raise ValueError("elements are nested too deeply")
     return out
 
 
+_FIELDS = ("pos", "class", "tag", "text", "html", "anchor", "styles", "in_table", "cells")
+
+
+def parsed_pages(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """key, elements (null: refused) and error: a page that can't be parsed doesn't stop the others."""
+
+    def one(page: str | None) -> dict:
+        try:
+            return {"elements": [dict(zip(_FIELDS, r)) for r in elements(page)], "error": None}
+        except (ValueError, AssertionError, MemoryError) as e:
+            return {"elements": None, "error": f"{type(e).__name__}: {e}"}
+
+    @F.pandas_udf(f"struct<elements:{ELEMENTS},error:string>")
+    def run(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(h) for h in s], columns=["elements", "error"])
+
+    return pages.select(F.col(key), run(F.col(html)).alias("p")).select(key, "p.elements", "p.error")
+
+
+def html_rejects(parsed: DataFrame) -> DataFrame:
+    """The key and error of the pages that were refused."""
+    return parsed.filter("error is not null").drop("elements")
+
+
 def html_nodes(pages: DataFrame, key: str, html: str = "html", cdn: str | None = None) -> DataFrame:
     """Flat nodes: key, node_pos, t1_pos, t2_pos, type, content (array), html, anchor, styles, cells.
 
     t1_pos, t2_pos: the level-1 and level-2 title that a node lies under (null: none); a
     title's own row has its own position there. A level-2 title before any level-1 one is
-    dropped. Consecutive bullets of a class are one listePuce node.
+    dropped. Consecutive bullets of a class are one listePuce node. Pages that are refused
+    have no nodes; pages may be what parsed_pages() returned.
     """
-    names = ("pos", "class", "tag", "text", "html", "anchor", "styles", "in_table", "cells")
-
-    @F.pandas_udf(ELEMENTS)
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: [dict(zip(names, r)) for r in elements(h)])
-
-    e = pages.select(F.col(key), F.explode(run(F.col(html))).alias("e")).select(key, "e.*")
+    parsed = pages if "elements" in pages.columns else parsed_pages(pages, key, html)
+    e = parsed.select(F.col(key), F.explode("elements").alias("e")).select(key, "e.*")
     doc = W.partitionBy(key).orderBy("pos")
     is1, is2 = F.col("class").isin(*LEVEL1), F.col("class") == LEVEL2
     e = e.withColumn("t1_pos", F.last(F.when(is1, F.col("pos")), True).over(doc))

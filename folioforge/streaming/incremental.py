@@ -16,8 +16,18 @@ def run_available(spark: SparkSession, source: str, schema: str, checkpoint: str
     query.awaitTermination()
 
 
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest of the folders that upsert_into() keeps."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return spark.read.parquet(f"{path}/v={max(int(f.getPath().getName().partition('=')[2]) for f in listed)}")
+
+
 def upsert_into(path: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
-    """A handler that keeps one folder per batch number, so that a batch that runs again replaces its own work."""
+    """A handler that keeps one folder per batch number, so that a batch that runs again replaces its own work.
+
+    The folder before the last one goes once a batch is done, as no batch can need it again.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -27,5 +37,7 @@ def upsert_into(path: str, keys: list[str], order: list[str]) -> Callable[[DataF
         else:
             after = upsert(batch.limit(0), batch, keys, order)
         after.write.mode("overwrite").parquet(f"{path}/v={number}")
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={number - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return handle

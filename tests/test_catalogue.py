@@ -39,7 +39,7 @@ def test_every_query_has_sql():
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = catalogue.allow_list_semi(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = catalogue.queries()['allow_list_semi'](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(c_mktsegment,BUILDING)" in plan and "o_totalprice" not in plan
 
 

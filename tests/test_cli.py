@@ -29,6 +29,18 @@ def test_commands(spark, tmp_path, capsys):
     assert spark.read.parquet(at("sections")).count() == 2
     assert cli.main(["index", "chunks", "--input", at("n.jsonl"), "-o", at("chunks")]) == 0
     assert len(spark.read.parquet(at("chunks")).first().embedding) == 1024
+    assert cli.main(["index", "chunks", "--input", at("n.jsonl"), "--save-embeddings", at("cache"), "-o", at("chunks")]) == 0
+    assert cli.main(["index", "chunks", "--input", at("n.jsonl"), "--load-embeddings", at("cache"), "-o", at("again")]) == 0
+    assert spark.read.parquet(at("again")).filter("not cached").count() == 0
+    assert cli.main(["classify", "--input", at("r.jsonl"), "--debug", "--single", "-o", at("pred")]) == 0
+    assert spark.read.json(at("pred.debug.jsonl")).first().texts_4_1 == "chez l'enfant\na\nb" and len(list((tmp_path / "pred").glob("*.csv"))) == 1
+    assert cli.main(["import-records", "--input", at("r.jsonl"), "-o", at("import")]) == 0 and spark.read.parquet(at("import/main")).first().title == "skip"
+    assert cli.main(["parse-staged", at("html"), "--checkpoint", at("state"), "-o", at("staged")]) == 0 and len(list((tmp_path / "staged").glob("parsed_N_*_batch001.jsonl"))) == 1
+    spark.createDataFrame([([["1", "n"]], ["s"], ["p"], "A01")], "specialites array<array<string>>, subs_ids array<string>, pathos_codes array<string>, atc5_code string").write.parquet(at("t/groups"))
+    for name in ("substances", "pathologies", "labels"):
+        spark.createDataFrame([("s", "S")], "code string, label string").write.parquet(at(f"t/{name}"))
+    assert cli.main(["specialites", "--tables", at("t"), "-o", at("spec")]) == 0 and spark.read.parquet(at("spec")).first().substances == ["S"]
+    assert cli.main(["specialites", "-o", at("spec")]) == 1
     assert cli.main([]) == 1 and cli.main(["index", "chunks", "--input", at("none"), "-o", at("x")]) == 1
 
 

@@ -95,9 +95,10 @@ def test_sql_dump(spark):
 def test_datasets(spark, tmp_path):
     (tmp_path / "c.yml").write_text("datasets:\n- id: d\n  table: t\n  source: {type: csv, url: u, delimiter: ';', encoding: cp1252, quotechar: $}\n  columns: [{name: a, type: str}, {name: b, type: str}]\n- id: e\n  source: {type: csv, delimiter: '|'}\n  columns: [{name: a}, {name: b}]\n")
     known = datasets.catalogue(str(tmp_path / "c.yml"))
-    (tmp_path / "d.csv").write_bytes("a;b\n$é;1$;€\nshort\n1;2;3\n".encode("cp1252"))
+    (tmp_path / "d.csv").write_bytes("a;b\n$é;1$;€\nshort\n1;2;3\n$x\ny$;z\nlast;\n".encode("cp1252"))
     good, bad = datasets.read_dataset(spark, known["d"], str(tmp_path / "d.csv"))
-    assert [tuple(r) for r in good.collect()] == [("é;1", "€")]
+    assert [tuple(r) for r in good.collect()] == [("é;1", "€"), ("x\ny", "z"), ("last", None)]
+    assert bad.count() == 2 and [r.value for r in bad.collect()] == ["short", "1;2;3"]
     (tmp_path / "e.csv").write_text('a|b\n1|"x\ny"\nshort\n1|2|3\n')
     good, bad = datasets.read_dataset(spark, known["e"], str(tmp_path / "e.csv"))
     assert [tuple(r) for r in good.collect()] == [("1", "x\ny")] and len(bad.collect()) == 2

@@ -1,4 +1,4 @@
-"""Queries over whole texts and tables, beside those whose SQL takes a part."""
+"""Queries run over whole texts and tables."""
 
 from __future__ import annotations
 
@@ -12,16 +12,15 @@ def write(spark, at, table, rows, schema):
 
 def test_lines_beyond_the_third_are_labelled(spark, tmp_path):
     sf = write(spark, tmp_path, "documents", [(1, "x\nx\nx\npour"), (2, "x\nx\nx\nx\nx\npour"), (3, "pour\nx\nx\nx\never")], "doc_id long, text string")
-    got = {r.doc_id: (r.label_a, r.label_b, r.label_c) for r in catalogue.label_rules_whole(spark, sf).collect()}
+    got = {r.doc_id: (r.label_a, r.label_b, r.label_c) for r in catalogue.label_rules(spark, sf).collect()}
     assert got == {1: (True, False, False), 2: (False, True, False), 3: (True, False, True)}
-    assert {r.doc_id: r.label_a for r in catalogue.label_rules(spark, sf).collect()}[1] is False
 
 
 def test_superscripts_and_subscripts_cover_the_whole_text(spark, tmp_path):
     from hashlib import md5
 
     sf = write(spark, tmp_path, "documents", [(1, "Q" * 45 + "2")], "doc_id long, text string")
-    row = catalogue.sup_sub_whole(spark, sf).first()
+    row = catalogue.sup_sub(spark, sf).first()
     assert (row.sup, row.sub) == tuple(md5(("Q" * 45 + x).encode()).hexdigest() for x in "²₂")
 
 
@@ -49,6 +48,6 @@ def test_report_and_lookup_take_every_row(spark, tmp_path):
     write(spark, tmp_path, "orders", [(1,), (2,)], "o_orderkey long")
     write(spark, tmp_path, "lineitem", [(1, 7, 1), (1, 8, 2), (1, 5, 3)], "l_orderkey long, l_partkey long, l_linenumber int")
     write(spark, tmp_path, "part", [(7, "odd"), (8, "even")], "p_partkey long, p_name string")
-    got = {(r.doc_id, r.label_a, r.truth, r.state) for r in catalogue.prediction_report_whole(spark, sf).collect()}
-    assert got == {(3, 1, "", "found"), (4, 0, "0", "found"), (9, None, "1", "missing")}
-    assert {r.o_orderkey: r.names for r in catalogue.enrich_docs_whole(spark, sf).collect()} == {1: "odd|even", 2: ""}
+    got = {(r.doc_id, r.label_a, r.truth, r.state) for r in catalogue.prediction_report(spark, sf).collect()}
+    assert got == {(3, 1, None, "found"), (4, 0, "0", "found"), (9, None, "1", "missing")}
+    assert {r.o_orderkey: r.names for r in catalogue.enrich_docs(spark, sf).collect()} == {1: "odd|even", 2: ""}
