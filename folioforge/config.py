@@ -37,6 +37,33 @@ class Database:
         return {k: v for k, v in out.items() if v is not None}
 
 
+@dataclass(frozen=True)
+class ObjectStore:
+    """An S3-compatible store; paths under it are s3a:// paths that Spark's readers and writers take."""
+
+    bucket: str
+    endpoint: str | None = None
+    key: str | None = None
+    secret: str | None = None
+
+    @classmethod
+    def from_env(cls, prefix: str = "S3", env: dict | None = None) -> ObjectStore:
+        """<prefix>_BUCKET, _ENDPOINT, _KEY_ID and _KEY_SECRET; without a bucket a ValueError."""
+        env = os.environ if env is None else env
+        if not env.get(f"{prefix}_BUCKET"):
+            raise ValueError(f"{prefix}_BUCKET is not set")
+        return cls(env[f"{prefix}_BUCKET"], env.get(f"{prefix}_ENDPOINT"), env.get(f"{prefix}_KEY_ID"), env.get(f"{prefix}_KEY_SECRET"))
+
+    def path(self, *parts: str) -> str:
+        return "/".join([f"s3a://{self.bucket}", *(p.strip("/") for p in parts if p.strip("/"))])
+
+    def settings(self) -> dict[str, str]:
+        """Settings of a session, for this bucket alone."""
+        at = f"spark.hadoop.fs.s3a.bucket.{self.bucket}"
+        out = {f"{at}.endpoint": self.endpoint, f"{at}.access.key": self.key, f"{at}.secret.key": self.secret, f"{at}.path.style.access": "true" if self.endpoint else None}
+        return {k: v for k, v in out.items() if v is not None}
+
+
 def scratch(spark) -> str:
     """A new path in the folder that all executors share, spark.checkpoint.dir.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -135,6 +135,11 @@ def typed(df: DataFrame, kinds: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     good = tried.filter(~bad).select(*[F.col(f"_{c}").alias(c) if c in kinds else F.col(c) for c in df.columns])
     return good, tried.filter(bad).select(*df.columns)
 
+def ensure_table(spark: SparkSession, name: str, like: DataFrame) -> None:
+    """A table of like's columns, unless there is one of that name."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+
 def overwrite_checked(df: DataFrame, path: str) -> int:
     """Truncate and load: the folder's rows are replaced; returns how many were written."""
 

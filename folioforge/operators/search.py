@@ -81,6 +81,15 @@ def terms(df: DataFrame, outer: str, inner: str, size: int, key: str, hits: int
     return best.join(first, F.col(outer).eqNullSafe(F.col("_o")) & F.col(inner).eqNullSafe(F.col("_i"))).drop("_o", "_i")
 
 
+def facets(df: DataFrame, outer: str, inner: dict[str, int], key: str, hits: int = 5) -> DataFrame:
+    """outer, facet, term, n, top_ids, rank: terms() of several inner columns, each with a size of its own."""
+    out = None
+    for name, size in inner.items():
+        one = terms(df, outer, name, size, key, hits).select(outer, F.lit(name).alias("facet"), F.col(name).cast("string").alias("term"), "n", "top_ids", "rank")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def postings(docs: DataFrame, key: str, text: str, analyse: Callable[[Column], Column] = analyse_french) -> DataFrame:
     """term, key, tf, length: the inverted index."""
     tokens = docs.select(key, analyse(F.col(text)).alias("t")).withColumn("length", F.size("t"))

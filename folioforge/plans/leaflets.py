@@ -347,3 +347,14 @@ def staged_presentations(spark, sf):
     text |= {"numpresentation": F.when(F.col("p_partkey") % 10 == 3, "x").otherwise(F.col("p_partkey").cast("string")), "nom_presentation": F.col("p_name"), "qtecontenance": F.col("p_retailprice").cast("string"), "numelement": F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")).otherwise("")}
     rows, rejects = load.staged(_t(spark, sf, "part").select(*[v.alias(k) for k, v in text.items()]), load.PRESENTATIONS)
     return rows.select("numpresentation", "nom_presentation", "qtecontenance", "numelement", F.lit(rejects.count()).cast("long").alias("rejected"))
+
+
+@_query("""WITH d AS (SELECT doc_id, lang, source, length(text) // 1000 AS size FROM documents), u AS (SELECT doc_id, lang, 'source' AS facet, source AS term FROM d UNION ALL SELECT doc_id, lang, 'size', size::VARCHAR FROM d),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, facet, term ORDER BY doc_id) AS r FROM u),
+c AS (SELECT lang, facet, term, count(*) AS n, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) FILTER (r <= 5) AS top_ids FROM k GROUP BY lang, facet, term),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, facet ORDER BY n DESC, CASE WHEN facet = 'size' THEN term::BIGINT END, term) AS rank FROM c)
+SELECT lang, facet, term, n, top_ids, rank::INTEGER AS rank FROM o WHERE rank <= CASE facet WHEN 'size' THEN 3 ELSE 10 END""")
+def facet_counts(spark, sf):
+    """Counts by language of two inner terms with sizes of their own."""
+    d = _t(spark, sf, "documents").select("doc_id", "lang", "source", F.floor(F.length("text") / 1000).alias("size"))
+    return search.facets(d, "lang", {"source": 10, "size": 3}, "doc_id")

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from folioforge import cli
-from folioforge.config import Database
+
+from folioforge.config import Database, ObjectStore
 from tests.test_documents import NOTICE, PAGE, RCP
 
 
@@ -48,3 +51,8 @@ def test_settings():
     assert Database.from_env("PG", "postgresql", 5432, {"PG_URL": "postgres://u:p@h:1/d"}) == Database("jdbc:postgresql://h:1/d", "u", "p")
     assert Database.from_env("PG", "postgresql", 5432, {"PG_HOST": "h", "PG_DATABASE": "d"}).options("t") == {"url": "jdbc:postgresql://h:5432/d", "dbtable": "t"}
     assert Database.from_env("PG", "postgresql", 5432, {}) is None
+    store = ObjectStore.from_env(env={"S3_BUCKET": "b", "S3_ENDPOINT": "https://e", "S3_KEY_ID": "k"})
+    assert store.path("/a/", "", "x.htm") == "s3a://b/a/x.htm"
+    assert store.settings() == {"spark.hadoop.fs.s3a.bucket.b.endpoint": "https://e", "spark.hadoop.fs.s3a.bucket.b.access.key": "k", "spark.hadoop.fs.s3a.bucket.b.path.style.access": "true"}
+    with pytest.raises(ValueError):
+        ObjectStore.from_env(env={})

@@ -82,6 +82,9 @@ def test_packages(spark, tmp_path):
     for _ in range(2):
         datasets.publish(tables, "packs", ("old",))
     assert spark.table("packs.two").count() == 2
+    for _ in range(2):
+        load.ensure_table(spark, "packs.new", tables["one"])
+    assert spark.table("packs.new").columns == ["k", "v"] and spark.table("packs.new").count() == 0
     spark.sql("DROP DATABASE packs CASCADE")
 
 
