@@ -44,6 +44,8 @@ LANDMARKS, MORE = 192, 160
 #: Labelled texts of each kind that training takes at most, and the longest one (characters).
 SAMPLE, LONGEST = 1200, 12_000
 THRESHOLD = 0.7
+#: Share of clean texts, unseen in training, that may score above the threshold where both kinds overlap.
+PASSED = 0.01
 #: Weight of a text's second worst word beside its worst.
 SECOND = 0.5
 #: Log-likelihood ratio from which a letter run tells toxic texts from others.
@@ -401,7 +403,7 @@ def _word_margins(words: list[str], table: np.ndarray, bias: float) -> np.ndarra
 def _logistic(clean: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Slope and middle of the curve; a score of 0.7 lies between clean margins, of texts that
     training didn't see, and toxic ones, and never below what but few clean texts pass."""
-    low, high = np.quantile(clean, 0.997), np.quantile(toxic, 0.03)
+    low, high = np.quantile(clean, 1 - PASSED), np.quantile(toxic, 0.03)
     at = max(low, (low + high) / 2)
     slope = 3.0 / max(abs(high - low) / 2, 0.25)
     return float(slope), float(at - np.log(0.7 / 0.3) / slope)
