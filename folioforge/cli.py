@@ -117,13 +117,11 @@ def _nodes(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def classify(spark: SparkSession, a: argparse.Namespace) -> None:
     from folioforge.operators import evaluate, labels
-    from folioforge.operators.sections import texts_of_section
+    from folioforge.operators.sections import texts_of_sections
     from folioforge.sources.datasets import ground_truth
 
     nodes = _nodes(spark, a)
-    texts = nodes.select("cis").filter("cis <> ''").distinct()
-    for number, name in (("4.1", "t1"), ("4.2", "t2"), ("4.3", "texts_contra")):
-        texts = texts.join(texts_of_section(nodes, number, name), "cis", "left")
+    texts = texts_of_sections(nodes.filter("cis <> ''"), {"4.1": "t1", "4.2": "t2", "4.3": "texts_contra"})
     empty = F.array().cast("array<string>")
     texts = texts.withColumn("texts_main", F.concat(F.coalesce("t1", empty), F.coalesce("t2", empty)))
     codes = spark.read.csv(a.codes, header=True).select("cis", "code") if a.codes else spark.createDataFrame([], "cis string, code string")
@@ -150,7 +148,7 @@ def index(spark: SparkSession, a: argparse.Namespace) -> None:
         hashes = nodes.groupBy(F.col("cis").alias("key")).agg(search.content_hash(F.to_json(F.array_sort(F.collect_list(F.struct("path", "type", "content", "anchor", "html"))))).alias("content_hash"))
         chunks = chunks.withColumn("key", F.col("cis")).join(hashes, "key")
         cache = spark.read.parquet(a.load_embeddings) if a.load_embeddings else None
-        out = search.embed_cached(chunks, cache, batch=a.batch)
+        out = search.embed_cached(chunks if cache is None else chunks.persist(), cache, batch=a.batch)
         out.write.mode("overwrite").parquet(a.output)
         if a.save_embeddings:
             search.save_cache(spark.read.parquet(a.output), a.save_embeddings)

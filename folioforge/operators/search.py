@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,6 +14,11 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import analyse_french
 
+try:
+    from _md5 import md5  # a third of the time of hashlib's, which sets up its library for each word
+except ImportError:
+    from hashlib import md5
+
 
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
@@ -107,13 +111,19 @@ def bm25(index: DataFrame, query: list[str], key: str, k: int = 10, k1: float =
     return hit.groupBy(key).agg(F.sum(score).alias("score")).orderBy(F.col("score").desc(), key).limit(k)
 
 
+def _hash(word: str) -> bytes:
+    return md5(word.encode()).digest()[:8]
+
+
+_known = functools.lru_cache(1 << 17)(_hash)
+
+
 def hashing_embedder(texts: list[str], size: int = 1024) -> np.ndarray:
     """Deterministic unit vectors of hashed words: stands in where no embedding service is given."""
-    out = np.zeros((len(texts), size), np.float32)
-    for i, t in enumerate(texts):
-        for w in t.lower().split():
-            h = int.from_bytes(hashlib.md5(w.encode()).digest()[:8], "big")
-            out[i, h % size] += 1 if h >> 63 else -1
+    words = [t.lower().split() for t in texts]
+    h = np.frombuffer(b"".join([_known(w) if len(w) < 64 else _hash(w) for ws in words for w in ws]), ">u8").astype(np.uint64)
+    at = np.repeat(np.arange(len(texts)) * size, [len(ws) for ws in words]) + (h % np.uint64(size)).astype(np.int64)
+    out = np.bincount(at, np.where(h >> np.uint64(63), 1.0, -1.0), len(texts) * size).reshape(-1, size).astype(np.float32)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
@@ -121,22 +131,24 @@ def embed(chunks: DataFrame, embedder: Callable[[list[str]], np.ndarray] = hashi
     """Adds embedding, `batch` texts a call; after an error of a kind in retry_on (time-outs and refused
     connections are OSErrors) a call is made again after 1, 2, 4, ... 16 seconds, `retries` times in all."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for at in range(0, len(part), batch):
-                some = part.iloc[at : at + batch]
+            for at in range(0, part.num_rows, batch):
+                some = part.slice(at, batch)
                 for turn in range(retries):
                     try:
-                        v = embedder(some["embed_text"].tolist())
+                        v = embedder(some.column("embed_text").to_pylist())
                         break
                     except retry_on:
                         if turn == retries - 1:
                             raise
                         sleep(min(16, 2**turn))
-                yield some.assign(embedding=list(map(list, v)))
+                v = np.asarray(v, np.float32)
+                ends = pa.array(np.arange(v.shape[0] + 1) * v.shape[1], pa.int32())
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.ListArray.from_arrays(ends, pa.array(v.ravel()))], names=[*some.schema.names, "embedding"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema) + ", embedding array<float>"
-    return chunks.mapInPandas(run, schema)
+    return chunks.mapInArrow(run, schema)
 
 
 def cache_hits(chunks: DataFrame, cache: DataFrame) -> DataFrame:
@@ -164,7 +176,9 @@ def save_cache(embedded: DataFrame, path: str, buckets: int = 64) -> None:
 
 def embed_cached(chunks: DataFrame, cache: DataFrame | None, **options) -> DataFrame:
     """chunks (key, content_hash, id, embed_text, ...) with embedding and cached: keys that the cache
-    serves as a whole take theirs from it, all chunks of the others are embedded again."""
+    serves as a whole take theirs from it, all chunks of the others are embedded again.
+
+    With a cache chunks are read three times, so they should be stored, not a long plan."""
     if cache is None:
         return embed(chunks, **options).withColumn("cached", F.lit(False))
     valid = cache_hits(chunks, cache).filter("valid").select("key")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.functions.text import chunk_id, embed_text, node_text, strip_u
+from folioforge.functions.text import chunk_id, embed_text
 from folioforge.operators.labels import HEADINGS
 from folioforge.operators.load import lookup_one
+from folioforge.sources.jsonl import below, per_record
 
 SKIPPED = ("AmmAnnexeTitre", "DateNotif")
 BANNED_SECTIONS, BANNED_CHUNKS = ("Ann3bSomm",), ("Ann3bEmballage",)
@@ -93,6 +96,9 @@ NOTICE_TITLES = {
 }
 
 
+_NUMBER = re.compile(r"([0-9]+(?:\.[0-9]+)?)\.")
+
+
 def fold(text: str | None) -> str:
     ascii_ = unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode()
     return " ".join(ascii_.lower().split())
@@ -107,8 +113,20 @@ def _lookup(key: Column, known: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), key)
 
 
+def normal_anchor(anchor: str | None, title: str, kind: str) -> str:
+    """The anchor's alias, else (for generated anchors) the one of the section number, else of the folded title, else as it is."""
+    a = anchor or ""
+    found = ALIASES.get(a)
+    if found is None and a.startswith("_"):
+        number = _NUMBER.match(title)
+        found = (RCP_NUMBERS if kind == "rcp" else NOTICE_NUMBERS).get(number.group(1)) if number else None
+        if found is None and kind != "rcp":
+            found = NOTICE_TITLES.get(fold(title))
+    return a if found is None else found
+
+
 def normalise_anchors(df: DataFrame, anchor: str, title: str, kind: str) -> DataFrame:
-    """Adds norm_anchor: alias, else (for generated anchors) section number, else folded title, else as it is."""
+    """normal_anchor() as a column, norm_anchor."""
     a, low = F.coalesce(F.col(anchor), F.lit("")), F.col(title)
     number = F.regexp_extract(F.coalesce(low, F.lit("")), r"^(\d+(?:\.\d+)?)\.", 1)
     found = _lookup(number, RCP_NUMBERS if kind == "rcp" else NOTICE_NUMBERS)
@@ -118,80 +136,118 @@ def normalise_anchors(df: DataFrame, anchor: str, title: str, kind: str) -> Data
     return df.withColumn("norm_anchor", F.coalesce(_lookup(a, ALIASES), F.when(a.startswith("_"), found), a))
 
 
-def subtree_text(nodes: DataFrame, heads: DataFrame) -> DataFrame:
-    """cis, path, text_content: the plain text of each head's subtree in document order.
+def _title(node: dict) -> str:
+    return " ".join(node["content"] or []).strip()
 
-    Nodes meet the heads by their ancestors' paths: an exploded equi-join, as deep as the tree.
-    """
-    parts = F.split("path", r"\.")
-    up = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "."))
-    items = nodes.select("cis", F.col("path").alias("at"), F.explode(up).alias("path"), F.filter(F.transform("content", strip_u), lambda x: x != "").alias("items"))
-    joined = items.join(heads.select("cis", "path").distinct(), ["cis", "path"])
-    text = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "items"))), lambda x: x["items"])), " ")
-    return joined.groupBy("cis", "path").agg(text.alias("text_content"))
+
+def _items(node: dict) -> list[str]:
+    return [x for x in (c.strip() for c in node["content"] or []) if x]
+
+
+def _text(nodes: list[dict], at: int) -> str:
+    """The plain text of a subtree in document order."""
+    return " ".join(x for n in below(nodes, at) for x in _items(n))
+
+
+def _section_docs(kind: str):
+    def run(nodes: list[dict]) -> Iterator[tuple]:
+        date, tops, kids = "", {}, {}
+        for at, n in enumerate(nodes):
+            if n["depth"] == 0:
+                date = _title(n) if n["type"] == "DateNotif" else date
+                if n["type"] not in SKIPPED and n["anchor"] not in BANNED_SECTIONS:
+                    tops[n["path"]] = at, date
+            elif kind == "rcp" and n["depth"] == 1 and n["type"] == LEVEL2 and n["anchor"]:
+                kids.setdefault(n["parent"], []).append(at)
+        for path, (at, date) in tops.items():
+            for head in kids.get(path, [at]):
+                n = nodes[head]
+                title = _title(n)
+                anchor = normal_anchor(n["anchor"], title, kind)
+                text = _text(nodes, head) if anchor not in BANNED_SECTIONS else ""
+                if text:
+                    yield n["type"], anchor, title, text, date, n["path"]
+
+    return run
 
 
 def section_docs(nodes: DataFrame, names: DataFrame, kind: str) -> DataFrame:
-    """One document per section: id, cis_code, spec_name, doc_type, section_type, section_anchor, section_title, text_content, date_notif.
+    """One document per section: id, cis_code, spec_name, doc_type, section_type, section_anchor, section_title, text_content, date_notif, path.
 
-    names: cis, name. A date reaches only what follows it. RCP sections with anchored
-    subsections give one document for each of these, else one for themselves.
+    nodes: flat ones or records; names: cis, name. A date reaches only what follows it. RCP
+    sections with anchored subsections give one document for each of these, else one for themselves.
     """
-    top = nodes.filter("depth = 0")
-    doc = W.partitionBy("cis").orderBy("path")
-    date = F.last(F.when(F.col("type") == "DateNotif", node_text(F.col("content"))), True).over(doc)
-    top = top.withColumn("date_notif", F.coalesce(date, F.lit(""))).filter(~F.coalesce(F.col("type"), F.lit("")).isin(*SKIPPED))
-    top = top.filter(~F.coalesce("anchor", F.lit("")).isin(*BANNED_SECTIONS))
-    picked = ["cis", "path", "type", "anchor", "content", "date_notif"]
-    if kind == "rcp":
-        kids = nodes.filter((F.col("depth") == 1) & (F.col("type") == LEVEL2) & (F.coalesce("anchor", F.lit("")) != ""))
-        under = kids.join(top.select("cis", F.col("path").alias("parent"), "date_notif"), ["cis", "parent"])
-        whole = top.join(kids.select("cis", F.col("parent").alias("path")).distinct(), ["cis", "path"], "left_anti")
-        heads = under.select(picked).unionByName(whole.select(picked))
-    else:
-        heads = top.select(picked)
-    heads = normalise_anchors(heads.withColumn("section_title", node_text(F.col("content"))), "anchor", "section_title", kind)
-    heads = heads.filter(~F.col("norm_anchor").isin(*BANNED_SECTIONS)).join(subtree_text(nodes, heads), ["cis", "path"]).filter("text_content <> ''")
-    out = lookup_one(heads, "cis", names, "name")
-    return out.select(F.concat_ws("_", "cis", "norm_anchor", F.lit(kind)).alias("id"), F.col("cis").alias("cis_code"), F.col("name").alias("spec_name"), F.lit(kind).alias("doc_type"), F.col("type").alias("section_type"), F.col("norm_anchor").alias("section_anchor"), "section_title", "text_content", "date_notif", "path")
+    docs = per_record(nodes, _section_docs(kind), "section_type string, section_anchor string, section_title string, text_content string, date_notif string, path string")
+    out = lookup_one(docs, "cis", names, "name")
+    return out.select(F.concat_ws("_", "cis", "section_anchor", F.lit(kind)).alias("id"), F.col("cis").alias("cis_code"), F.col("name").alias("spec_name"), F.lit(kind).alias("doc_type"), "section_type", "section_anchor", "section_title", "text_content", "date_notif", "path")
+
+
+def _notice_chunks(nodes: list[dict]) -> Iterator[tuple]:
+    kids: dict[str, list[int]] = {}
+    for at, n in enumerate(nodes):
+        if n["depth"] in (1, 2):
+            kids.setdefault(n["parent"], []).append(at)
+
+    def chunk(anchor: str, title: str, sub: str, parts: list[int]) -> Iterator[tuple]:
+        text = " ".join(_text(nodes, at) for at in parts).strip()
+        if text:
+            yield anchor, title, sub, text, [h for h in (nodes[at]["html"] for at in parts) if h]
+
+    for n in nodes:
+        if n["depth"] or n["type"] in SKIPPED:
+            continue
+        title = _title(n)
+        anchor = normal_anchor(n["anchor"], title, "notice")
+        own = kids.get(n["path"], []) if anchor not in BANNED_CHUNKS else []
+        titles = [at for at in own if nodes[at]["type"] == LEVEL2]
+        for at in titles:
+            sub = _title(nodes[at])
+            yield from chunk(normal_anchor(nodes[at]["anchor"] or anchor, sub, "notice"), title, sub, kids.get(nodes[at]["path"], []))
+        if not titles:
+            sub, parts = "", []
+            for at in own:
+                if nodes[at]["type"] in HEADERS:
+                    yield from chunk(anchor, title, sub, parts)
+                    sub, parts = _title(nodes[at]), []
+                else:
+                    parts.append(at)
+            yield from chunk(anchor, title, sub, parts)
 
 
 def notice_chunks(nodes: DataFrame) -> DataFrame:
     """Semantic chunks: id, cis, section_anchor, section_title, sub_header, text, embed_text, html_snippets.
 
-    A section with level-2 titles gives a chunk for each of these; another is cut at bold
-    lines and level-3 titles.
+    nodes: flat ones or records. A section with level-2 titles gives a chunk for each of these;
+    another is cut at bold lines and level-3 titles.
     """
-    heads = nodes.filter((F.col("depth") == 0) & ~F.coalesce(F.col("type"), F.lit("")).isin(*SKIPPED)).withColumn("section_title", node_text(F.col("content")))
-    heads = normalise_anchors(heads, "anchor", "section_title", "notice").filter(~F.col("norm_anchor").isin(*BANNED_CHUNKS))
-    heads = heads.select("cis", F.col("path").alias("section"), "section_title", F.col("norm_anchor").alias("section_anchor"))
-    kids = nodes.filter("depth = 1").withColumnRenamed("parent", "section").join(heads, ["cis", "section"])
-    sect = W.partitionBy("cis", "section")
-    kids = kids.withColumn("_two", F.max((F.col("type") == LEVEL2).cast("int")).over(sect)).withColumn("_h", F.coalesce(F.col("type"), F.lit("")).isin(*HEADERS))
-    flat = kids.filter("_two = 0").withColumn("n", F.sum(F.col("_h").cast("int")).over(sect.orderBy("path")))
-    flat = flat.withColumn("sub_header", F.coalesce(F.first(F.when(F.col("_h"), node_text(F.col("content"))), True).over(W.partitionBy("cis", "section", "n")), F.lit("")))
-    body = flat.filter(~F.col("_h")).select("cis", "section", "section_title", "section_anchor", F.format_string("%06d", "n").alias("n"), "sub_header", F.col("path"), "html")
-    titles = normalise_anchors(kids.filter(F.col("type") == LEVEL2).withColumn("sub_header", node_text(F.col("content"))).withColumn("a", F.coalesce(F.nullif("anchor", F.lit("")), "section_anchor")), "a", "sub_header", "notice")
-    titles = titles.select("cis", "section", "section_title", F.col("norm_anchor").alias("section_anchor"), F.col("path").alias("n"), "sub_header")
-    deep = nodes.filter("depth = 2").select("cis", F.col("parent").alias("n"), "path", "html").join(titles, ["cis", "n"])
-    body = body.unionByName(deep.select(body.columns))
-    body = body.join(subtree_text(nodes, body), ["cis", "path"], "left")
-    parts = F.array_sort(F.collect_list(F.struct("path", F.coalesce("text_content", F.lit("")).alias("t"), "html")))
-    chunks = body.groupBy("cis", "section", "section_title", "section_anchor", "n", "sub_header").agg(parts.alias("p"))
-    chunks = chunks.withColumn("text", strip_u(F.array_join(F.transform("p", lambda x: x["t"]), " "))).filter("text <> ''")
+    chunks = per_record(nodes, _notice_chunks, "section_anchor string, section_title string, sub_header string, text string, html_snippets array<string>")
     chunks = chunks.withColumn("embed_text", embed_text(F.col("section_title"), F.col("sub_header"), F.col("text")))
-    html = F.filter(F.transform("p", lambda x: x["html"]), lambda x: x.isNotNull() & (x != ""))
-    return chunks.select(chunk_id(F.col("cis"), F.col("section_anchor"), F.col("embed_text")).alias("id"), "cis", "section_anchor", "section_title", "sub_header", "text", "embed_text", html.alias("html_snippets"))
+    return chunks.select(chunk_id(F.col("cis"), F.col("section_anchor"), F.col("embed_text")).alias("id"), "cis", "section_anchor", "section_title", "sub_header", "text", "embed_text", "html_snippets")
+
+
+def texts_of_sections(nodes: DataFrame, prefixes: dict[str, str]) -> DataFrame:
+    """cis and for each prefix, in a column of the name that it has here, the texts below the first
+    level-2 title (under a level-1 annex title) that starts with it; null without such a title or
+    anything below it. nodes: flat ones or records; each record is walked once."""
+
+    def texts(nodes: list[dict], at: int) -> list[str] | None:
+        found, any_ = [], False
+        for n in islice(below(nodes, at), 1, None):
+            any_ = True
+            heading = n["type"] in ("AmmAnnexeTitre3", "AmmAnnexeTitre4")
+            found += [x for x in _items(n) if not (heading and x.lower() in HEADINGS)] if n["type"] != LEVEL2 else []
+        return found if any_ else None
+
+    def run(nodes: list[dict]) -> Iterator[tuple]:
+        tops = {n["path"] for n in nodes if n["depth"] == 0 and n["type"] == "AmmAnnexeTitre1"}
+        second = [(at, _title(n)) for at, n in enumerate(nodes) if n["depth"] == 1 and n["type"] == LEVEL2 and n["parent"] in tops]
+        first = [next((at for at, title in second if title.startswith(p)), None) for p in prefixes]
+        if nodes:
+            yield tuple(None if at is None else texts(nodes, at) for at in first)
+
+    return per_record(nodes, run, ", ".join(f"`{name}` array<string>" for name in prefixes.values()))
 
 
 def texts_of_section(nodes: DataFrame, prefix: str, name: str) -> DataFrame:
-    """cis and the texts below the first level-2 title (under a level-1 annex title) that starts with prefix."""
-    tops = nodes.filter((F.col("depth") == 0) & (F.col("type") == "AmmAnnexeTitre1")).select("cis", F.col("path").alias("parent"))
-    second = nodes.filter((F.col("depth") == 1) & (F.col("type") == LEVEL2)).join(tops, ["cis", "parent"], "left_semi")
-    first = second.filter(node_text(F.col("content")).startswith(prefix)).groupBy("cis").agg(F.min("path").alias("head"))
-    below = nodes.join(first, "cis").filter(F.col("path").startswith(F.concat("head", F.lit("."))))
-    heading = F.col("type").isin("AmmAnnexeTitre3", "AmmAnnexeTitre4")
-    items = F.filter(F.transform("content", strip_u), lambda x: (x != "") & ~(heading & F.lower(x).isin(*HEADINGS)))
-    items = F.when(F.coalesce(F.col("type"), F.lit("")) == LEVEL2, F.array().cast("array<string>")).otherwise(items)
-    listed = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("path", items.alias("i")))), lambda x: x["i"]))
-    return below.groupBy("cis").agg(listed.alias(name))
+    """texts_of_sections() of one prefix: only the records that have such texts."""
+    return texts_of_sections(nodes, {prefix: name}).filter(F.col(name).isNotNull())

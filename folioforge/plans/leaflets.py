@@ -146,7 +146,7 @@ SELECT """
 
 
 def _chunks(spark, sf) -> DataFrame:
-    return sections.notice_chunks(jsonl.nodes(_records(spark, sf, _CHUNKED)))
+    return sections.notice_chunks(jsonl.records(_records(spark, sf, _CHUNKED)))
 
 
 @_query(_CHUNK_SQL + "doc_id, anchor, md5(title) AS title, md5(sub) AS sub, md5(body) AS body FROM c WHERE body <> ''")
@@ -164,7 +164,9 @@ def chunk_ids(spark, sf):
 @_query(_CHUNK_SQL + "doc_id, count(DISTINCT e) AS n, count(DISTINCT e) FILTER (doc_id % 3 <> 0) AS cached FROM (SELECT doc_id, anchor || chr(31) || CASE WHEN sub <> '' THEN title || ' > ' || sub || ': ' || body ELSE title || ': ' || body END AS e FROM c WHERE body <> '') GROUP BY doc_id")
 def embedding_cache(spark, sf):
     """Chunks embedded with a cache on disk: that of every third document is stale, so all its chunks are embedded again."""
-    now = _chunks(spark, sf).select("id", F.col("cis").alias("key"), "embed_text").distinct().withColumn("content_hash", search.content_hash(F.concat("key", F.lit("now"))))
+    now, kept = _chunks(spark, sf).select("id", F.col("cis").alias("key"), "embed_text").distinct(), scratch(spark)
+    now.withColumn("content_hash", search.content_hash(F.concat("key", F.lit("now")))).write.parquet(kept)
+    now = spark.read.parquet(kept)  # the records are walked once
     small = lambda texts: search.hashing_embedder(texts, 8)
     at = scratch(spark)
     stale = F.when(F.col("key").cast("long") % 3 == 0, "old").otherwise(F.col("content_hash"))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def read_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -24,7 +27,10 @@ def parsed_files(names: DataFrame, column: str, since: str | None = None) -> Dat
     return names.filter(F.coalesce(day >= F.lit(since).cast("date"), F.lit(True)))
 
 
-NODES = "array<struct<path:string,parent:string,depth:int,pos:int,type:string,content:array<string>,anchor:string,html:string,text:string,has_children:boolean>>"
+NODE = "path string, parent string, depth int, pos int, type string, content array<string>, anchor string, html string, text string, has_children boolean"
+_FIELDS = tuple(f.split()[0] for f in NODE.split(", "))
+#: About how many bytes of text, and how many rows, leave a Python worker at once.
+MOST_BYTES, MOST_ROWS = 1 << 22, 4096
 
 
 def _texts(value) -> list[str]:
@@ -51,16 +57,67 @@ def flatten_record(line: str | None) -> list[dict]:
     return out
 
 
-def _flatten():
-    @F.pandas_udf(NODES)
-    def run(lines: pd.Series) -> pd.Series:
-        return lines.map(flatten_record)
+def batches(rows: Iterable[tuple], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
+    out, held = [], 0
+    pack = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), kinds)], schema=kinds)
+    for row in rows:
+        out.append(row)
+        held += _size(row)
+        if held > MOST_BYTES or len(out) == MOST_ROWS:
+            yield pack()
+            out, held = [], 0
+    if out:
+        yield pack()
 
-    return run
 
+def rows_of(df: DataFrame, run: Callable[..., Iterable[tuple]], schema: str) -> DataFrame:
+    """The rows that run() gives for each row of df, in small batches: a worker holds one of df's
+    batches as Arrow has it, one row of it as Python objects, and a few MB of what it gives."""
+    kinds = to_arrow_schema(T._parse_datatype_string(schema))
 
-def nodes(records: DataFrame, value: str = "value") -> DataFrame:
-    """cis, filename and the flat nodes of each record; one walk per record, no recursion in the plan."""
+    def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches((row for part in parts for i in range(part.num_rows) for row in run(*(c[i].as_py() for c in part.columns))), kinds)
+
+    return df.mapInArrow(each, schema)
+
+
+def _size(value) -> int:
+    if isinstance(value, str):
+        return len(value)
+    if isinstance(value, dict):
+        return 8 + sum(_size(x) for x in value.values())
+    return 8 + sum(_size(x) for x in value) if isinstance(value, (list, tuple)) else 8
+
+
+def records(lines: DataFrame, value: str = "value") -> DataFrame:
+    """cis, filename and line: what takes flat nodes takes these too, and walks each record once, where it lies."""
     source = F.try_parse_json(F.col(value))
     get = lambda p: F.try_variant_get(source, f"$.source.{p}", "string")
-    return records.select(get("cis").alias("cis"), get("filename").alias("filename"), F.explode(_flatten()(F.col(value))).alias("n")).select("cis", "filename", "n.*")
+    return lines.select(get("cis").alias("cis"), get("filename").alias("filename"), F.col(value).alias("line"))
+
+
+def per_record(nodes: DataFrame, run: Callable[[list[dict]], Iterable[tuple]], schema: str, keys: tuple[str, ...] = ("cis",)) -> DataFrame:
+    """keys and what run() gives of a record's nodes, which it gets in document order.
+
+    nodes: flat ones, gathered by keys first, or records(), where each line is a record of its own.
+    """
+    heads = "".join(f"{k} string, " for k in keys)
+    if "line" in nodes.columns:
+        return rows_of(nodes.select(*keys, "line"), lambda *row: (row[:-1] + r for r in run(flatten_record(row[-1]))), heads + schema)
+    held = nodes.groupBy(*keys).agg(F.collect_list(F.struct(*_FIELDS)).alias("nodes"))
+    return rows_of(held, lambda *row: (row[:-1] + r for r in run(sorted(row[-1], key=lambda n: n["path"]))), heads + schema)
+
+
+def below(nodes: list[dict], at: int) -> Iterator[dict]:
+    """The node at a place of a record's nodes, and those of its subtree, in document order."""
+    head = nodes[at]["path"] + "."
+    yield nodes[at]
+    for n in range(at + 1, len(nodes)):
+        if not nodes[n]["path"].startswith(head):
+            break
+        yield nodes[n]
+
+
+def nodes(lines: DataFrame, value: str = "value") -> DataFrame:
+    """cis, filename and the flat nodes of each record; one walk per record, no recursion in the plan."""
+    return per_record(records(lines, value), lambda ns: (tuple(n[f] for f in _FIELDS) for n in ns), NODE, ("cis", "filename"))
