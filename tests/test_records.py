@@ -37,6 +37,13 @@ def same(spark, both, run):
     assert a == b and any(a)
 
 
+def test_chunks_walk_a_record_once(spark, both):
+    same(spark, both, lambda n: [sections.notice_chunks(n)])
+    for name in ("chunk_ids", "flat_chunks"):
+        df = getattr(leaflets, name)(spark, SF)
+        assert walks(df) == 1 and "Exchange" not in plan(df)
+
+
 def test_embedding_cache_walks_records_once(spark):
     df = leaflets.embedding_cache(spark, SF)
     assert walks(df) == 1  # the stale keys' chunks are embedded; the chunks themselves are stored
