@@ -115,7 +115,7 @@ d AS (SELECT doc_id, s, CASE WHEN two THEN {_NUMBER_SQL} ELSE 'Sec' || s END AS
 SELECT doc_id || '_' || anchor || '_rcp' AS id, CASE WHEN doc_id % 2 = 0 THEN 'N' || doc_id ELSE '' END AS spec_name, arg_max(section_type, s) AS section_type, md5(arg_max(title, s)) AS title, md5(arg_max(body, s)) AS body, '0' || doc_id AS date_notif FROM d GROUP BY doc_id, anchor""")
 def section_docs_rcp(spark, sf):
     """Section documents of records, the last one of an id."""
-    n = jsonl.nodes(_records(spark, sf, _RCP, _HEAD))
+    n = jsonl.records(_records(spark, sf, _RCP, _HEAD))
     names = _t(spark, sf, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("cis"), F.concat(F.lit("N"), "doc_id").alias("name"))
     docs = evaluate.last_wins(sections.section_docs(n, names, "rcp"), ["id"], ["path"])
     return docs.select("id", "spec_name", "section_type", F.md5(F.col("section_title").cast("binary")).alias("title"), F.md5(F.col("text_content").cast("binary")).alias("body"), "date_notif")
@@ -129,7 +129,7 @@ _DATED = f"""if(s % 3 = 2, {_s('DateNotif', _NONE, "concat('d', s)", _NO_BLOCKS)
 SELECT doc_id || '_Sec' || s || '_notice' AS id, CASE WHEN s >= 3 THEN 'd' || (s - s % 3 - 1) ELSE '' END AS date_notif, md5({_JOINED}) AS body FROM e""")
 def carry_forward(spark, sf):
     """Section documents of notices: a date reaches only what follows it."""
-    n = jsonl.nodes(_records(spark, sf, _DATED))
+    n = jsonl.records(_records(spark, sf, _DATED))
     docs = sections.section_docs(n, spark.createDataFrame([], "cis string, name string"), "notice")
     return docs.select("id", "date_notif", F.md5(F.col("text_content").cast("binary")).alias("body"))
 

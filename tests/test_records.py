@@ -56,6 +56,14 @@ def test_embedder_gives_what_single_words_add_up_to():
     assert np.allclose(got[0], sum_ / np.linalg.norm(sum_)) and not got[1].any() and (got[2] == one("w" * 99)).all()
 
 
+def test_section_documents_walk_a_record_once(spark, both):
+    names = spark.createDataFrame([("1", "Name")], "cis string, name string")
+    for kind in ("rcp", "notice"):
+        same(spark, both, lambda n, kind=kind: [sections.section_docs(n, names, kind)])
+    for name in ("section_docs_rcp", "carry_forward"):
+        assert walks(getattr(leaflets, name)(spark, SF)) == 1
+
+
 def test_rows_leave_a_worker_in_small_batches():
     kinds = pa.schema([("x", pa.string())])
     assert [b.num_rows for b in jsonl.batches(iter([("x" * 1_000_000,)] * 12), kinds)] == [5, 5, 2]
