@@ -28,6 +28,13 @@ def normalise_text(c: Column) -> Column:
     return F.replace(F.replace(plain, F.lit("≥"), F.lit(">=")), F.lit("≤"), F.lit("<="))
 
 
+_PLAIN = str.maketrans({"’": "'", "‘": "'", "‑": "-", "–": "-", "≥": ">=", "≤": "<="})
+
+
+def normal_py(text: str) -> str:
+    return text.translate(_PLAIN)
+
+
 def superscript(c: Column) -> Column:
     return F.translate(c, *_SUP)
 

@@ -64,6 +64,14 @@ def test_section_documents_walk_a_record_once(spark, both):
         assert walks(getattr(leaflets, name)(spark, SF)) == 1
 
 
+def test_pages_are_walked_once(spark):
+    df = spark.createDataFrame([("d", PAGE), ("e", None)], "doc string, html string")
+    same(spark, (df, html.parsed_pages(df, "doc")), lambda x: [html.html_nodes(x, "doc")])
+    for name in ("section_tree", "bullet_runs"):
+        df = getattr(leaflets, name)(spark, SF)
+        assert walks(df) == 1 and "Exchange" not in plan(df) and "Window" not in plan(df)
+
+
 def test_rows_leave_a_worker_in_small_batches():
     kinds = pa.schema([("x", pa.string())])
     assert [b.num_rows for b in jsonl.batches(iter([("x" * 1_000_000,)] * 12), kinds)] == [5, 5, 2]
