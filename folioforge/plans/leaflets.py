@@ -176,11 +176,11 @@ def embedding_cache(spark, sf):
 
 
 def _thirds(spark, sf) -> DataFrame:
-    """Nodes of records with sections 4.1, 4.2 and 4.3 that share a document's lines by turns."""
+    """Records with sections 4.1, 4.2 and 4.3 that share a document's lines by turns."""
     kid = lambda i: f"named_struct('type', 'AmmAnnexeTitre2', 'anchor', cast(null as string), 'content', '4.{i + 1} T', 'children', transform(filter(l, (x, i) -> i % 3 = {i}), x -> named_struct('type', 'AmmCorpsTexte', 'content', x)))"
     docs = _t(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("l"))
     top = f"named_struct('type', 'AmmAnnexeTitre1', 'content', '4. Top', 'children', array({kid(0)}, {kid(1)}, {kid(2)}))"
-    return jsonl.nodes(docs.select(F.expr(f"to_json(named_struct('source', named_struct('cis', cast(doc_id as string)), 'content', array({top})))").alias("value")))
+    return jsonl.records(docs.select(F.expr(f"to_json(named_struct('source', named_struct('cis', cast(doc_id as string)), 'content', array({top})))").alias("value")))
 
 
 _THIRD_SQL = "t AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents), z AS (SELECT doc_id, " + ", ".join(f"[x FOR x IN [{_strip('y')} FOR y, i IN a IF i % 3 = {(i + 1) % 3}] IF x <> ''] AS l{i}" for i in range(3)) + " FROM t)"
@@ -199,9 +199,7 @@ def first_match_section(spark, sf):
 def classified_records(spark, sf):
     """Records to labels: section texts, rules, flat report rows."""
     n, empty = _thirds(spark, sf), F.array().cast("array<string>")
-    texts = n.select("cis").distinct()
-    for number, name in (("4.1", "t1"), ("4.2", "t2"), ("4.3", "texts_contra")):
-        texts = texts.join(sections.texts_of_section(n, number, name), "cis", "left")
+    texts = sections.texts_of_sections(n, {"4.1": "t1", "4.2": "t2", "4.3": "texts_contra"})
     texts = texts.withColumns({"texts_main": F.concat(F.coalesce("t1", empty), F.coalesce("t2", empty)), "code": F.lit(None).cast("string")})
     rows = labels.report_rows(labels.classify(texts, rules=_RULES), "cis")
     return rows.select(F.col("cis").cast("long").alias("doc_id"), "label_a", "label_b", "label_c")

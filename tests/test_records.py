@@ -64,6 +64,12 @@ def test_section_documents_walk_a_record_once(spark, both):
         assert walks(getattr(leaflets, name)(spark, SF)) == 1
 
 
+def test_section_texts_walk_a_record_once(spark, both):
+    same(spark, both, lambda n: [sections.texts_of_sections(n, {"4.1": "a", "4.3": "b", "9": "c"})])
+    for name in ("first_match_section", "classified_records"):
+        assert walks(getattr(leaflets, name)(spark, SF)) == 1
+
+
 def test_pages_are_walked_once(spark):
     df = spark.createDataFrame([("d", PAGE), ("e", None)], "doc string, html string")
     same(spark, (df, html.parsed_pages(df, "doc")), lambda x: [html.html_nodes(x, "doc")])
