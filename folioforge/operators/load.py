@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import code_ancestors, unanchor
 from folioforge.operators.evaluate import last_wins
+from folioforge.sources.jsonl import per_record
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The target with incoming rows in place of those of the same key; the last incoming row by order wins."""
@@ -76,8 +79,33 @@ def specialite_docs(groups: DataFrame, substances: DataFrame, pathologies: DataF
 
 META = ("DateNotif", "AmmAnnexeTitre")
 
+def _imported(nodes: list[dict]) -> dict[str, tuple[dict, list[dict]]]:
+    """A record's blocks that are kept, and the children of each that are; a block goes with any block above it that is left out."""
+    whole: dict[str, tuple[dict, list[dict]]] = {}
+    for n in nodes:
+        filled = any(n["content"] or []) or n["has_children"]
+        kept = filled or n["text"] if n["depth"] else filled and n["type"] not in META
+        if kept and (not n["depth"] or n["parent"] in whole):
+            whole[n["path"]] = n, []
+            if n["depth"]:
+                whole[n["parent"]][1].append(n)
+    return whole
+
+
+def _main_rows(nodes: list[dict]) -> Iterator[tuple]:
+    last = {n["type"]: n for n in nodes if n["depth"] == 0 and n["type"] in META}
+    named = [(((n["content"] or [None])[0] or None, n["path"]) if n else (None, None)) for n in (last.get("AmmAnnexeTitre"), last.get("DateNotif"))]
+    if any(n["depth"] == 0 for n in nodes):
+        yield (*named[0], *named[1], [{"pos": n["pos"], "path": n["path"]} for n, _ in _imported(nodes).values() if not n["depth"]])
+
+
+def _content_rows(nodes: list[dict]) -> Iterator[tuple]:
+    for n, kids in _imported(nodes).values():
+        yield (*(n[c] for c in ("path", "parent", "depth", "pos", "type", "content", "anchor", "html")), [k["path"] for k in sorted(kids, key=lambda k: k["pos"])] or None)
+
+
 def import_rows(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(main, content, rejects) of flat nodes, for a keyed load.
+    """(main, content, rejects) of flat nodes or records, for a keyed load.
 
     main: code_cis, title, date_notif (the last top-level block of its type wins; empty: null),
     children; content: code_cis, id, parent_id, pos, type, content, anchor, html (named anchors
@@ -85,25 +113,20 @@ def import_rows(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     same twice. Records without a code count as imported and give no row; rejects: cis,
     filename of records whose code is no whole number.
     """
-    named = nodes.filter("cis <> ''").withColumn("code_cis", F.expr("try_cast(cis as int)"))
-    rejects = named.filter("code_cis is null").select("cis", "filename").distinct()
-    good = named.filter("code_cis is not null")
-    first = F.nullif(F.try_element_at("content", F.lit(1)), F.lit(""))
-    top = good.filter("depth = 0")
-    last = lambda kind: F.max_by(F.when(F.col("type") == kind, first), F.when(F.col("type") == kind, F.col("path")))
-    head = top.groupBy("code_cis").agg(last("AmmAnnexeTitre").alias("title"), last("DateNotif").alias("date_notif"))
-    filled = (F.size("content") > 0) & (F.array_join("content", "") != "") | F.col("has_children")
-    meta = F.coalesce(F.col("type").isin(*META), F.lit(False))
-    kept = good.filter(((F.col("depth") > 0) & (filled | (F.coalesce("text", F.lit("")) != ""))) | ((F.col("depth") == 0) & ~meta & filled))
-    # a block goes with any block above it that is left out
-    names = kept.select("code_cis", "path")
-    up = F.expr("transform(sequence(1, size(split(path, '[.]'))), n -> array_join(slice(split(path, '[.]'), 1, n), '.'))")
-    whole = kept.select("code_cis", "path", "depth", F.explode(up).alias("above")).join(names.withColumnRenamed("path", "above"), ["code_cis", "above"]).groupBy("code_cis", "path", "depth").count().filter("count = depth + 1").select("code_cis", "path")
+    named, code = nodes.filter("cis <> ''"), F.expr("try_cast(cis as int)")
+    key = ("cis", "filename")
+    rejects = per_record(named.filter(code.isNull()), lambda ns: [(len(ns),)] if ns else [], "n int", key).select(*key).distinct()
+    good = named.filter(code.isNotNull())
     node_id = lambda path: F.xxhash64("code_cis", path)
-    rows = kept.join(whole, ["code_cis", "path"]).select("code_cis", node_id("path").alias("id"), F.when(F.col("depth") > 0, node_id("parent")).alias("parent_id"), "path", "pos", "type", "content", "anchor", unanchor(F.col("html")).alias("html"))
-    content = with_children(rows, "code_cis", "id", "parent_id")
-    roots = rows.filter("parent_id is null").groupBy("code_cis").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("children"))
-    return head.join(roots, "code_cis", "left"), content, rejects
+    head = per_record(good, _main_rows, "title string, title_at string, date_notif string, date_at string, roots array<struct<pos:int,path:string>>", key).withColumn("code_cis", code)
+    head = head.withColumn("roots", F.transform("roots", lambda r: F.struct(r["pos"].alias("pos"), node_id(r["path"]).alias("id"))))
+    roots = F.transform(F.array_sort(F.flatten(F.collect_list("roots"))), lambda r: r["id"])
+    main = head.groupBy("code_cis").agg(F.max_by("title", "title_at").alias("title"), F.max_by("date_notif", "date_at").alias("date_notif"), roots.alias("children"))
+    main = main.withColumn("children", F.when(F.size("children") > 0, F.col("children")))
+    rows = per_record(good, _content_rows, "path string, parent string, depth int, pos int, type string, content array<string>, anchor string, html string, kids array<string>", key).withColumn("code_cis", code)
+    content = rows.select("code_cis", node_id("path").alias("id"), F.when(F.col("depth") > 0, node_id("parent")).alias("parent_id"), "path", "pos", "type", "content", "anchor", unanchor(F.col("html")).alias("html"), F.transform("kids", node_id).alias("children"))
+    return main, content, rejects
+
 
 def staged(df: DataFrame, kinds: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of a staged table of texts: the columns in kinds, cast, empty texts as null."""

@@ -208,7 +208,7 @@ def classified_records(spark, sf):
 @_query(_SECTIONS_SQL + " SELECT doc_id::INTEGER AS code_cis, 'doc' || doc_id AS title, '0' || doc_id AS date_notif, count(*) AS n_children FROM g GROUP BY doc_id")
 def import_main(spark, sf):
     """Main rows of records: title and date from the last block of their types, ids of the sections."""
-    main, _, _ = load.import_rows(jsonl.nodes(_records(spark, sf, _RCP, _HEAD)))
+    main, _, _ = load.import_rows(jsonl.records(_records(spark, sf, _RCP, _HEAD)))
     return main.select("code_cis", "title", "date_notif", F.size("children").cast("long").alias("n_children"))
 
 
@@ -219,7 +219,7 @@ UNION ALL SELECT doc_id, s, 'AmmCorpsTexte', unnest([x FOR x IN CASE WHEN two TH
 SELECT doc_id::INTEGER AS code_cis, type, md5(t) AS h, kids::BIGINT AS kids FROM b""")
 def import_content(spark, sf):
     """Content rows of records: empty blocks are left out, each row lists its children."""
-    _, content, _ = load.import_rows(jsonl.nodes(_records(spark, sf, _RCP, _HEAD)))
+    _, content, _ = load.import_rows(jsonl.records(_records(spark, sf, _RCP, _HEAD)))
     kids = F.when(F.col("children").isNull(), 0).otherwise(F.size("children"))
     return content.select("code_cis", "type", F.md5(F.array_join("content", "|").cast("binary")).alias("h"), kids.cast("long").alias("kids"))
 
@@ -230,7 +230,7 @@ def import_rejects(spark, sf):
     code = F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 5 == 0, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
     block = F.array(F.struct(F.lit("b").alias("type"), F.lit("t").alias("content")))
     lines = _t(spark, sf, "documents").select(F.to_json(F.struct(F.struct(code.alias("cis"), F.col("doc_id").cast("string").alias("filename")).alias("source"), block.alias("content"))).alias("value"))
-    main, _, bad = load.import_rows(jsonl.nodes(lines))
+    main, _, bad = load.import_rows(jsonl.records(lines))
     seen = evaluate.Counters(rejected="bad")
     both = main.select(F.lit(False).alias("bad")).unionAll(bad.select(F.lit(True).alias("bad")))
     seen.watch(both).write.format("noop").mode("overwrite").save()

@@ -70,6 +70,13 @@ def test_section_texts_walk_a_record_once(spark, both):
         assert walks(getattr(leaflets, name)(spark, SF)) == 1
 
 
+def test_imports_walk_a_record_once(spark, both):
+    same(spark, both, load.import_rows)
+    assert walks(leaflets.import_main(spark, SF)) == 1
+    df = leaflets.import_content(spark, SF)
+    assert walks(df) == 1 and "Exchange" not in plan(df)
+
+
 def test_pages_are_walked_once(spark):
     df = spark.createDataFrame([("d", PAGE), ("e", None)], "doc string, html string")
     same(spark, (df, html.parsed_pages(df, "doc")), lambda x: [html.html_nodes(x, "doc")])
