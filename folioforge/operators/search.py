@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 
@@ -14,11 +15,6 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import analyse_french
 
-try:
-    from _md5 import md5  # a third of the time of hashlib's, which sets up its library for each word
-except ImportError:
-    from hashlib import md5
-
 
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
@@ -112,7 +108,7 @@ def bm25(index: DataFrame, query: list[str], key: str, k: int = 10, k1: float =
 
 
 def _hash(word: str) -> bytes:
-    return md5(word.encode()).digest()[:8]
+    return hashlib.md5(word.encode()).digest()[:8]
 
 
 _known = functools.lru_cache(1 << 17)(_hash)
