@@ -66,14 +66,21 @@ def specialite_docs(groups: DataFrame, substances: DataFrame, pathologies: DataF
     tables: code, label (labels: any number per code). Ids are trimmed; unknown ones are left out;
     of a code that several groups list, the entry of the greatest group by value stays.
     """
+    none = F.array().cast("array<string>")
     trimmed = lambda c: F.transform(c, lambda x: F.trim(x))
-    key = groups.select(F.sha1(F.to_json(F.struct("*"))).alias("_group"), "specialites", trimmed("subs_ids").alias("subs_ids"), trimmed("pathos_codes").alias("pathos_codes"), "atc5_code").dropDuplicates(["_group"])
-    clean = lambda t: t.select(F.trim(F.col("code").cast("string")).alias("code"), "label")
-    out = lookup_all(key, "_group", "subs_ids", clean(substances), "code", "label", "substances")
-    out = lookup_all(out, "_group", "pathos_codes", clean(pathologies), "code", "label", "pathologies")
-    coded = code_labels(key.filter("atc5_code <> ''").select("_group", "atc5_code"), "_group", "atc5_code", labels.select("code", "label"))
-    out = out.join(coded, "_group", "left")
-    each = out.select("_group", F.explode("specialites").alias("s"), "substances", "pathologies", F.coalesce("code_labels", F.array().cast("array<string>")).alias("atc_labels"))
+    key = groups.select(F.unhex(F.sha1(F.to_json(F.struct("*")))).alias("_group"), "specialites", trimmed("subs_ids").alias("subs_ids"), trimmed("pathos_codes").alias("pathos_codes"), "atc5_code").dropDuplicates(["_group"])
+    # both lists meet both tables in one join
+    clean = lambda t, kind: t.select(F.lit(kind).alias("_kind"), F.trim(F.col("code").cast("string")).alias("code"), "label")
+    ids = lambda c, kind: F.transform(F.coalesce(c, none), lambda x, i: F.struct(F.lit(kind).alias("_kind"), i.alias("pos"), x.alias("code")))
+    each = key.select("_group", F.inline(F.concat(ids("subs_ids", 0), ids("pathos_codes", 1))))
+    found = each.join(clean(substances, 0).unionByName(clean(pathologies, 1)), ["_kind", "code"])
+    found = found.groupBy("_group").agg(F.array_sort(F.collect_list(F.struct("_kind", "pos", "label"))).alias("_l"))
+    # a code's labels are found once, not once a group
+    codes = groups.filter("atc5_code <> ''").select("atc5_code").distinct()
+    coded = code_labels(codes, "atc5_code", "atc5_code", labels.select("code", "label"))
+    out = key.select("_group", "specialites", "atc5_code").join(found, "_group", "left").join(coded, "atc5_code", "left")
+    listed = lambda kind: F.coalesce(F.transform(F.filter("_l", lambda x: x["_kind"] == kind), lambda x: x["label"]), none)
+    each = out.select("_group", F.explode("specialites").alias("s"), listed(0).alias("substances"), listed(1).alias("pathologies"), F.coalesce("code_labels", none).alias("atc_labels"))
     docs = each.select("_group", F.try_element_at("s", F.lit(1)).alias("cis_code"), F.try_element_at("s", F.lit(2)).alias("spec_name"), "substances", "pathologies", "atc_labels")
     return last_wins(docs.filter("cis_code is not null"), ["cis_code"], ["_group"]).drop("_group")
 

@@ -324,8 +324,9 @@ SELECT l_orderkey || x AS cis_code, 'n' || x AS spec_name, coalesce(substances,
 FROM l LEFT JOIN n USING (l_orderkey) LEFT JOIN s USING (l_orderkey), (SELECT unnest(['a', 'b']) AS x)""")
 def specialite_docs(spark, sf):
     """Reference documents: two codes an order, its parts as substances, its suppliers (half of them known) as pathologies."""
-    line = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col(c).cast("string").alias("v")))), lambda x: F.concat(F.lit(" "), x["v"]))
-    g = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(line("l_partkey").alias("subs_ids"), line("l_suppkey").alias("pathos_codes"))
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("lines")
+    ids = lambda c: F.transform("lines", lambda x: F.concat(F.lit(" "), x[c].cast("string")))
+    g = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(lines).select("l_orderkey", ids("l_partkey").alias("subs_ids"), ids("l_suppkey").alias("pathos_codes"))
     entry = lambda x: F.array(F.concat(F.col("l_orderkey").cast("string"), F.lit(x)), F.lit(f"n{x}"))
     g = g.select(F.array(entry("a"), entry("b")).alias("specialites"), "subs_ids", "pathos_codes", F.when(F.col("l_orderkey") % 2 == 0, "A01").alias("atc5_code"))
     pick = lambda t, k, v: _t(spark, sf, t).select(F.col(k).alias("code"), F.col(v).alias("label"))

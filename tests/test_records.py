@@ -89,3 +89,8 @@ def test_rows_leave_a_worker_in_small_batches():
     kinds = pa.schema([("x", pa.string())])
     assert [b.num_rows for b in jsonl.batches(iter([("x" * 1_000_000,)] * 12), kinds)] == [5, 5, 2]
     assert [b.num_rows for b in jsonl.batches(iter([("x",)] * 10_000), kinds)] == [4096, 4096, 1808]
+
+
+def test_reference_documents_read_their_groups_twice(spark):
+    text = plan(leaflets.specialite_docs(spark, SF)).split("Initial Plan")[-1]
+    assert text.count("lineitem.parquet") <= 3  # for the lists, for the entries and, without their lists, for the codes
