@@ -27,40 +27,53 @@ def nearest(vectors: DataFrame, query: list[float], k: int = 5, key: str = "vec_
     return vectors.select(key, F.round(cosine(F.col(column), q), 6).alias("score")).orderBy(F.col("score").desc(), key).limit(k)
 
 
-def _packed(vectors: DataFrame, key: str, column: str, rows: int) -> DataFrame:
-    """keys and m: blocks of at most `rows` keys and vectors as bytes; vectors that are null go."""
+def _blocks(vectors: DataFrame, key: str, column: str, rows: int) -> DataFrame:
+    """block: at most `rows` keys and vectors, gathered without Python; vectors that are null go."""
+    some = vectors.select(F.col(key).cast("long").alias("k"), F.col(column).cast("array<double>").alias("v")).filter("k is not null and v is not null")
+    numbered = some.withColumn("at", F.expr(f"monotonically_increasing_id() div {rows}"))  # a partition's ids are in a row, its first a multiple of 2^33
+    return numbered.groupBy("at").agg(F.collect_list(F.struct("k", "v")).alias("block")).select("block")
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for at in range(0, part.num_rows, rows):
-                some = part.slice(at, rows)
-                m = np.array(some.column(1).to_pylist(), np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array([some.column(0).to_numpy().tobytes()]), pa.array([m.tobytes()])], names=["keys", "m"])
 
-    some = vectors.select(F.col(key).cast("long").alias("k"), F.col(column).cast("array<double>").alias("v")).filter("k is not null and v is not null")
-    return some.mapInArrow(run, "keys binary, m binary")
+def _matrix(block: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and vectors as rows."""
+    keys, v = block.values.field("k"), block.values.field("v")
+    sizes = np.diff(v.offsets.to_numpy())
+    if (sizes != sizes[0]).any():
+        raise ValueError("vectors of several lengths")
+    return keys.to_numpy(), v.flatten().to_numpy(zero_copy_only=False).reshape(len(keys), sizes[0])
+
+
+def _best(q: np.ndarray, m: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in q, places in m and scores of the k best of each q: by score, then key. What isn't above the k-th score isn't sorted."""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        low = -np.round(q @ m.T / np.sqrt((q * q).sum(1)[:, None] * (m * m).sum(1)), 6)
+    last = np.partition(low, k - 1, 1)[:, k - 1] if k < len(keys) else np.full(len(q), np.inf)  # no score: last
+    i, j = np.nonzero(low <= np.where(np.isnan(last), np.inf, last)[:, None])
+    order = np.lexsort((keys[j], low[i, j], i))
+    i, j = i[order], j[order]
+    first = np.arange(len(i)) - np.searchsorted(i, i) < k
+    i, j = i[first], j[first]
+    return i, j, -low[i, j]
 
 
 def nearest_all(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", column: str = "embedding", block: int = 256) -> DataFrame:
     """query_id, key, score and rank: the k most similar rows of each row of queries, exactly; keys are whole numbers.
 
-    Blocks of queries meet blocks of rows; k rows a query leave each pair of blocks and are
-    ranked by rounded score, then key. A vector of zeros has no score.
+    Blocks of queries meet blocks of rows in the one Python step, which holds the scores of
+    `block` queries and one block of rows. k rows a query leave each pair of blocks and are
+    ranked by rounded score, then key. A vector of zeros has no score. Queries are brought
+    together first, or each file's few would be a block that all rows are sent to.
     """
-    rows = _packed(vectors, key, column, 16 * block)
-    asked = _packed(queries, key, column, block).select(F.col("keys").alias("q_keys"), F.col("m").alias("q"))
+    rows = _blocks(vectors, key, column, 8 * block)
+    asked = _blocks(queries.hint("rebalance"), key, column, 8 * block).select(F.col("block").alias("asked"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for i in range(part.num_rows):
-                keys, m, ids, q = (np.frombuffer(c[i].as_py(), t) for c, t in zip(part.columns, (np.int64, np.float64, np.int64, np.float64)))
-                m, q = m.reshape(len(keys), -1), q.reshape(len(ids), -1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    scores = np.round(q @ m.T / np.sqrt((q * q).sum(1)[:, None] * (m * m).sum(1)), 6)
-                best = np.array([np.lexsort((keys, -s))[:k] for s in scores])  # no score: last
-                found = np.take_along_axis(scores, best, 1).ravel()
-                real = ~np.isnan(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])[real]), pa.array(keys[best].ravel()[real]), pa.array(found[real])], names=["query_id", key, "score"])
+            for one, other in zip(*part.columns):
+                (keys, m), (ids, q) = _matrix(one), _matrix(other)
+                for at in range(0, len(ids), block):
+                    i, j, scores = _best(q[at : at + block], m, keys, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at + i]), pa.array(keys[j]), pa.array(scores)], names=["query_id", key, "score"])
 
     found = rows.crossJoin(asked).mapInArrow(run, f"query_id long, `{key}` long, score double")
     ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), key)))

@@ -42,6 +42,24 @@ def test_every_hundredth_vector_is_a_query_across_blocks(spark):
     assert {(r.query_id, r["rank"]): r.vec_id for r in got} == expected and len(got) == 50
 
 
+def test_neighbours_take_one_python_step_and_few_blocks_of_queries(spark):
+    from folioforge.operators import search
+
+    # equal vectors, more than k of them and over several blocks, then vectors without a score
+    rows = [(i, [1.0, float(i % 3)]) for i in range(600)] + [(i, [0.0, 0.0]) for i in range(600, 640)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(12)
+    df = search.nearest_all(v, v.filter("vec_id % 100 = 0"), k=7, block=8)
+    got = {}
+    for r in df.collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert got == {q: {n + 1: (q % 3 + 3 * n, 1.0) for n in range(7)} for q in range(0, 600, 100)}
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.split("Initial Plan")[-1].count("InArrow") == 1
+    assert search._blocks(v.filter("vec_id % 100 = 0").hint("rebalance"), "vec_id", "embedding", 64).count() == 1
+    few = search.nearest_all(v.filter("vec_id in (0, 1, 600)"), v.filter("vec_id in (0, 600)"))
+    assert sorted((r.query_id, r.vec_id) for r in few.collect()) == [(0, 0), (0, 1)]
+
+
 def test_report_and_lookup_take_every_row(spark, tmp_path):
     sf = write(spark, tmp_path, "documents", [(3, "pour"), (4, "x")], "doc_id long, text string")
     write(spark, tmp_path, "labels", [(4, 0), (9, 1)], "doc_id long, quality int")
